@@ -88,6 +88,26 @@ class Tables:
             )
         )
 
+    def event_docs(self) -> DataFrame:
+        """Run events as JSON text: some lack a job namespace or name, some are cut off."""
+        cols = sql_array(COLUMN_NAMES)
+        doc = (
+            "to_json(named_struct('eventType', state, 'eventTime', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), 'run', named_struct('runId', run_id), "
+            "'job', named_struct('namespace', if(k = 1, NULL, job_ns), 'name', if(k = 2, NULL, job_name)), "
+            "'inputs', array(named_struct('namespace', in_ns, 'name', in_a), named_struct('namespace', in_ns, 'name', in_b)), "
+            "'outputs', array(named_struct('namespace', out_ns, 'name', out_a, 'facets', named_struct("
+            "'schema', named_struct('fields', array(named_struct('name', c1, 'type', 'STRING'), named_struct('name', c2, 'type', CAST(NULL AS STRING)))), "
+            "'columnLineage', named_struct('fields', map(c1, named_struct('inputFields', array(named_struct('namespace', in_ns, 'name', in_a, 'field', c2, "
+            "'transformations', array(named_struct('description', if(event_id % 2 = 0, 'SUM(x)', NULL)))))))), "
+            "'dataQualityAssertions', named_struct('assertions', array(named_struct('assertion', 'chk_' || (event_id % 3), 'column', c1, 'success', event_type <> 'error'))))))))"
+        )
+        return (
+            self.runs()
+            .selectExpr("*", f"element_at({cols}, CAST(event_id % 5 AS INT) + 1) AS c1", f"element_at({cols}, CAST((event_id + 2) % 5 AS INT) + 1) AS c2")
+            .selectExpr("event_id", "k", f"{doc} AS doc")
+            .selectExpr("event_id", "CASE WHEN k = 3 THEN left(doc, 40) ELSE doc END AS doc")
+        )
+
     def edge_log(self, large: bool = True) -> DataFrame:
         """Three edges per run event, repeats kept."""
         return self.runs(large).selectExpr(

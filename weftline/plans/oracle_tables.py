@@ -28,6 +28,15 @@ CTES: dict[str, str] = {
     "elog": """SELECT event_id, ts, run_no, job_no, value, k, in_a AS src, job_name AS dst, 'CONSUMED_BY' AS type FROM ol
       UNION ALL SELECT event_id, ts, run_no, job_no, value, k, in_b, job_name, 'CONSUMED_BY' FROM ol
       UNION ALL SELECT event_id, ts, run_no, job_no, value, k, job_name, out_a, 'PRODUCED_BY' FROM ol""",
+    "docs": f"""SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS et, CASE WHEN k = 1 THEN 'default' ELSE job_ns END AS jns,
+        CASE WHEN k = 2 THEN 'unknown' ELSE job_name END AS jname, {_ARR}[event_id % 5 + 1] AS c1, {_ARR}[(event_id + 2) % 5 + 1] AS c2
+      FROM ol WHERE k IS NULL OR k <> 3""",
+    "mentions": """SELECT jns || '/' || jname AS id, 'job' AS type, jns AS namespace, jname AS name, state, et, NULL AS n_fields FROM docs
+      UNION ALL SELECT in_ns || '/' || in_a, 'dataset', in_ns, in_a, state, et, NULL FROM docs
+      UNION ALL SELECT in_ns || '/' || in_b, 'dataset', in_ns, in_b, state, et, NULL FROM docs
+      UNION ALL SELECT out_ns || '/' || out_a, 'dataset', out_ns, out_a, state, et, 2 FROM docs""",
+    "upserted": """SELECT id, type, namespace, name, arg_max(state, et) AS last_state, min(et) AS created_at, max(et) AS updated_at,
+        count(*) AS n_events, max(n_fields) AS known_fields FROM mentions GROUP BY ALL""",
     "edges": "SELECT DISTINCT src, dst, type FROM elog",
     "nodes": """SELECT id, CASE WHEN id LIKE 'job_%' THEN 'job' ELSE 'dataset' END AS type,
         (CASE WHEN id LIKE 'job_%' THEN 'ns_' ELSE 'wh_' END) || split_part(id, '_', 2) AS namespace
