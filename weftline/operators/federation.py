@@ -22,17 +22,23 @@ def product_edges(products: DataFrame) -> DataFrame:
     return ports.select(F.when(incoming, F.col("port")).otherwise(F.col("product")).alias("src"), F.when(incoming, F.col("product")).otherwise(F.col("port")).alias("dst")).distinct()
 
 
-def stitch(products: DataFrame, mode: str = "all") -> DataFrame:
-    """(producer, consumer, port) where an output port is somebody's input port.
+def matched_ports(products: DataFrame) -> DataFrame:
+    """(port, role, product) of ports that are somebody's output and somebody's input.
 
-    ``mode='last'`` keeps the latest registered producer and consumer per port only.
+    The port stays the meeting point of its producers and consumers, which keeps every link
+    without a row per producer and consumer pair.
     """
-    ports = product_ports(products).select("product", "reg_order", "role", "port").distinct()
-    out, inp = ports.filter("role = 'output'"), ports.filter("role = 'input'")
-    if mode == "last":
-        last = F.max_by("product", F.struct("reg_order", "product"))
-        out, inp = out.groupBy("port").agg(last.alias("product")), inp.groupBy("port").agg(last.alias("product"))
-    return out.select("port", F.col("product").alias("producer")).join(inp.select("port", F.col("product").alias("consumer")), "port").select("producer", "consumer", "port").distinct()
+    ports = product_ports(products).select("port", "role", "product").distinct()
+    shared = ports.groupBy("port").agg(F.bool_or(F.col("role") == "output").alias("written"), F.bool_or(F.col("role") == "input").alias("read"))
+    return ports.join(shared.filter("written AND read").select("port"), "port", "left_semi")
+
+
+def stitch_last(products: DataFrame) -> DataFrame:
+    """(producer, consumer, port) for the latest registered producer and consumer of each port."""
+    last = F.max_by("product", F.struct("reg_order", "product"))
+    ports = product_ports(products)
+    ends = ports.groupBy("port").pivot("role", ["output", "input"]).agg(last)
+    return ends.filter("output IS NOT NULL AND input IS NOT NULL").select(F.col("output").alias("producer"), F.col("input").alias("consumer"), "port")
 
 
 def trace_products(edges: DataFrame, products: DataFrame, roots: DataFrame, direction: str) -> DataFrame:

@@ -96,19 +96,27 @@ def erasure_by_dataset(flow: DataFrame, subjects: DataFrame, findings: DataFrame
     return rows.join(counts, "dataset", "left").select("root", "dataset", action.alias("action"), F.coalesce("n_columns", F.lit(0)).alias("n_columns"))
 
 
-def erasure_by_type(tags: DataFrame, requests: DataFrame) -> DataFrame:
-    """Plan rows of each request (request_id, pii_type): delete what is readable, check what is masked."""
-    places = tags.select("dataset", "column_name", "masked", F.explode("pii_types").alias("pii_type"))
-    return requests.join(places, "pii_type").select(
-        "request_id", "pii_type", "dataset", "column_name", F.when(F.col("masked"), "verify_masked").otherwise("delete").alias("action"),
+def erasure_by_type(tags: DataFrame) -> DataFrame:
+    """Plan rows per kind of personal data: delete what is readable, check what is masked.
+
+    A request names kinds, and its plan is the rows of those kinds; they are kept once, not
+    once per request.
+    """
+    return tags.select("dataset", "column_name", "masked", F.explode("pii_types").alias("pii_type")).select(
+        "pii_type", "dataset", "column_name", F.when(F.col("masked"), "verify_masked").otherwise("delete").alias("action"),
         F.when(F.col("masked"), "low").otherwise("high").alias("priority"))
 
 
 def erasure_audit(requests: DataFrame, plan: DataFrame, deletions: DataFrame, as_of: Column, deadline_days: int = 30) -> DataFrame:
-    """Per request: planned and done deletions, status, deadline and whether it is overdue."""
-    planned = plan.groupBy("request_id").agg(F.count("*").alias("planned"))
+    """Per request: planned and done deletions, status, deadline and whether it is overdue.
+
+    ``requests`` has one row per (request_id, pii_type) with requested_at.
+    """
+    sizes = plan.groupBy("pii_type").agg(F.count("*").alias("size"))
+    planned = requests.join(sizes, "pii_type", "left").groupBy("request_id").agg(
+        F.min("requested_at").alias("requested_at"), F.coalesce(F.sum("size"), F.lit(0)).alias("planned"))
     done = deletions.groupBy("request_id").agg(F.count("*").alias("done"))
-    joined = requests.join(planned, "request_id", "left").join(done, "request_id", "left").fillna(0, ["planned", "done"])
+    joined = planned.join(done, "request_id", "left").fillna(0, ["done"])
     status = F.when((F.col("planned") > 0) & (F.col("done") >= F.col("planned")), "completed").when(F.col("planned") > 0, "in_progress").otherwise("pending")
     return joined.withColumn("status", status).withColumn("deadline", F.date_add(F.to_date("requested_at"), deadline_days)).withColumn(
         "overdue", (F.col("status") != "completed") & (as_of > F.col("deadline")))
@@ -138,11 +146,13 @@ def pii_accessed(log: DataFrame, pii_columns: list[str]) -> DataFrame:
 
 
 def propagate_tags(edges: DataFrame, findings: DataFrame) -> DataFrame:
-    """(dataset, tag, inherited): own kinds of personal data and those of every ancestor."""
-    own = findings.select("dataset", F.col("pii_type").alias("tag")).distinct()
-    below = reach(edges, roots_of(own, "dataset")).select(F.col("root").alias("source"), F.col("node").alias("dataset"))
-    inherited = below.join(own.withColumnRenamed("dataset", "source"), "source").select("dataset", "tag", F.lit(True).alias("inherited"))
-    return own.withColumn("inherited", F.lit(False)).unionByName(inherited).groupBy("dataset", "tag").agg(F.bool_and("inherited").alias("inherited"))
+    """(dataset, tag, inherited): own kinds of personal data and those of every ancestor.
+
+    Each kind walks down from all of its datasets at once, so the work follows kinds and
+    nodes instead of pairs of datasets.
+    """
+    own = findings.select(F.col("pii_type").alias("root"), F.col("dataset").alias("node")).distinct()
+    return reach(edges, own, include_root=True).select(F.col("node").alias("dataset"), F.col("root").alias("tag"), (F.col("depth") > 0).alias("inherited"))
 
 
 def scan_text(docs: DataFrame, key: str, text: str) -> DataFrame:

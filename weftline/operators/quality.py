@@ -73,27 +73,10 @@ def failure_reach(edges: DataFrame, nodes: DataFrame, failed: DataFrame, dataset
     return reached.join(kept.select(F.col("id").alias("node")), "node", "left_semi").select("root", "node", "depth")
 
 
-def reached_by_any(edges: DataFrame, starts: DataFrame, hops_per_round: int = HOPS_PER_ROUND) -> DataFrame:
-    """(id): nodes below at least one start. Starts share one frontier, so no pair is built."""
-    pairs = cut_lineage(flow(edges, "downstream"))
-    frontier = starts.select("id").distinct()
-    seen = None
-    while True:
-        step, found = frontier, None
-        for _ in range(hops_per_round):
-            step = step.join(pairs, step["id"] == pairs["src"]).select(F.col("dst").alias("id")).distinct()
-            found = step if found is None else found.unionByName(step)
-        found = found.distinct()
-        fresh = cut_lineage(found if seen is None else found.join(seen, "id", "left_anti"))
-        seen = fresh if seen is None else cut_lineage(seen.unionByName(fresh))
-        if fresh.isEmpty():
-            return seen
-        frontier = fresh
-
-
 def propagate_status(edges: DataFrame, status: DataFrame) -> DataFrame:
     """(id, status, propagated): everything below a FAIL turns DEGRADED unless it failed itself."""
-    below = reached_by_any(edges, status.filter("status = 'FAIL'")).withColumn("hit", F.lit(True))
+    failed = status.filter("status = 'FAIL'").select(F.lit("failed").alias("root"), F.col("id").alias("node"))
+    below = reach(edges, failed).select(F.col("node").alias("id"), F.lit(True).alias("hit"))
     turned = F.when((F.col("status") != "FAIL") & F.col("hit"), "DEGRADED").otherwise(F.col("status"))
     return status.join(below, "id", "left").select("id", "status", turned.alias("propagated"))
 

@@ -46,11 +46,13 @@ def reach(
 ) -> DataFrame:
     """(root, node, depth) with the least depth of every node reachable from each root.
 
-    The root itself is left out unless ``include_root``. ``max_depth`` is inclusive.
+    ``roots`` has a ``root`` column; with a ``node`` column too, the walk of a root starts at
+    those nodes, so many starts can share one label. Starts are left out unless ``include_root``. ``max_depth`` is inclusive.
     ``stop_after`` ends the loop once every level up to that many nodes per root is complete.
     """
     pairs = cut_lineage(flow(edges, direction))
-    seen = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
+    start = F.col("node") if "node" in roots.columns else F.col("root")
+    seen = cut_lineage(roots.select("root", start.alias("node"), F.lit(0).alias("depth")).distinct())
     frontier, level, rounds = seen, 0, 0
     while max_depth is None or level < max_depth:
         hops = hops_per_round if max_depth is None else min(hops_per_round, max_depth - level)

@@ -32,14 +32,14 @@ def f02_up(t):
     return fed.trace_products(fed.product_edges(products), products, traversal.roots_of(products, "product"), "upstream")
 
 
-@query("j06_port_match", "SELECT DISTINCT o.product AS producer, i.product AS consumer, o.port FROM ports o JOIN ports i ON i.port = o.port AND i.role = 'input' WHERE o.role = 'output'", **_CTES)
+@query("j06_port_match", "SELECT DISTINCT port, role, product FROM ports WHERE port IN (SELECT port FROM ports WHERE role = 'output' INTERSECT SELECT port FROM ports WHERE role = 'input')", **_CTES)
 def j06(t):
-    return fed.stitch(t.products())
+    return fed.matched_ports(t.products())
 
 
 @query("j06_port_match_last", "SELECT producer, consumer, port FROM (SELECT port, arg_max(product, (reg_order, product)) AS producer FROM ports WHERE role = 'output' GROUP BY port) JOIN (SELECT port, arg_max(product, (reg_order, product)) AS consumer FROM ports WHERE role = 'input' GROUP BY port) USING (port)", **_CTES)
 def j06_last(t):
-    return fed.stitch(t.products(), mode="last")
+    return fed.stitch_last(t.products())
 
 
 _FQN = "'acme://d' || {l} || '.prod/' || {c}"

@@ -89,8 +89,8 @@ def v06(t):
 
 _REQUESTS = """SELECT 'req_' || user_id AS request_id, min(ts) AS requested_at, ['EMAIL', 'PHONE', 'SSN', 'NAME'][user_id % 4 + 1] AS pii_type FROM events GROUP BY user_id"""
 _PLAN = " UNION ALL ".join(
-    f"SELECT request_id, pii_type, dataset, column_name, CASE WHEN masked THEN 'verify_masked' ELSE 'delete' END AS action, CASE WHEN masked THEN 'low' ELSE 'high' END AS priority FROM requests JOIN tags ON pii_type = '{k}' AND regexp_matches(column_name, '{'|'.join(gov.WIDE_PATTERNS[k])}')"
-    for k in ("EMAIL", "PHONE", "SSN", "NAME"))
+    f"SELECT '{kind}' AS pii_type, dataset, column_name, CASE WHEN masked THEN 'verify_masked' ELSE 'delete' END AS action, CASE WHEN masked THEN 'low' ELSE 'high' END AS priority FROM tags WHERE regexp_matches(column_name, '{'|'.join(words)}')"
+    for kind, words in gov.WIDE_PATTERNS.items())
 
 
 def requests(t):
@@ -98,19 +98,17 @@ def requests(t):
         "'req_' || user_id AS request_id", "requested_at", "element_at(array('EMAIL', 'PHONE', 'SSN', 'NAME'), CAST(user_id % 4 AS INT) + 1) AS pii_type", "user_id")
 
 
-@query("v07_erasure_plan_by_type", f"SELECT pii_type, action, priority, count(*) AS n, count(DISTINCT request_id) AS n_requests FROM ({_PLAN}) GROUP BY ALL", requests=_REQUESTS, tags=_TAGS)
+@query("v07_erasure_plan_by_type", _PLAN, tags=_TAGS)
 def v07(t):
-    plan = gov.erasure_by_type(tags(t), requests(t))
-    return plan.groupBy("pii_type", "action", "priority").agg(F.count("*").alias("n"), F.countDistinct("request_id").alias("n_requests"))
+    return gov.erasure_by_type(tags(t))
 
 
 @query("v08_erasure_audit", f"""SELECT request_id, coalesce(planned, 0) AS planned, coalesce(done, 0) AS done, CASE WHEN planned > 0 AND coalesce(done, 0) >= planned THEN 'completed' WHEN planned > 0 THEN 'in_progress' ELSE 'pending' END AS status,
-    NOT (planned > 0 AND coalesce(done, 0) >= planned) AND DATE '2024-02-10' > CAST(requested_at AS DATE) + 30 AS overdue FROM requests LEFT JOIN (SELECT request_id, count(*) AS planned FROM ({_PLAN}) GROUP BY 1) USING (request_id)
-    LEFT JOIN (SELECT 'req_' || user_id AS request_id, sum(k)::BIGINT AS done FROM ol WHERE event_type = 'error' GROUP BY 1) USING (request_id)""", requests=_REQUESTS, tags=_TAGS)
+    NOT (planned > 0 AND coalesce(done, 0) >= planned) AND DATE '2024-02-10' > CAST(requested_at AS DATE) + 30 AS overdue FROM requests LEFT JOIN (SELECT pii_type, count(*) AS planned FROM plan_rows GROUP BY 1) USING (pii_type)
+    LEFT JOIN (SELECT 'req_' || user_id AS request_id, sum(k)::BIGINT AS done FROM ol WHERE event_type = 'error' GROUP BY 1) USING (request_id)""", requests=_REQUESTS, tags=_TAGS, plan_rows=_PLAN)
 def v08(t):
-    asked = requests(t)
     done = t.runs().filter("event_type = 'error'").selectExpr("'req_' || user_id AS request_id", "explode(array_repeat(1, CAST(k AS INT))) AS one")
-    audit = gov.erasure_audit(asked, gov.erasure_by_type(tags(t), asked), done, F.lit("2024-02-10").cast("date"))
+    audit = gov.erasure_audit(requests(t), gov.erasure_by_type(tags(t)), done, F.lit("2024-02-10").cast("date"))
     return audit.select("request_id", "planned", "done", "status", "overdue")
 
 
