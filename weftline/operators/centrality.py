@@ -18,35 +18,35 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter: int = 100, steps_per_cut: int = 4) -> DataFrame:
-    """(id, rank) with a uniform start and the rank of dangling nodes spread evenly.
+    """(id, rank): uniform teleport, the rank of dangling nodes spread evenly, sum 1.
 
-    Ends when the summed change of one step is below ``tol`` times the number of nodes.
+    With both spread evenly, the stationary rank is the sum of the uniform start after
+    0, 1, 2, ... damped steps along the edges, scaled to sum 1. A step is one join and one sum,
+    no scalar has to travel between steps, and on an acyclic graph the steps run out by themselves.
+    Ends when the steps still to come hold less than ``tol`` of the rank.
     """
     pairs = flow(edges, "downstream")
-    fan_out = pairs.groupBy("src").agg((F.lit(1.0) / F.count("*")).alias("share"))
-    ids = pairs.selectExpr("explode(array(src, dst)) AS id").distinct()
-    # A zero-weight loop on every node keeps nodes without writers in the sum.
-    links = cut_lineage(
-        pairs.join(fan_out, "src").unionByName(ids.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("share"))))
-    n = ids.count()
-    if n == 0:
-        return ids.withColumn("rank", F.lit(0.0))
-    ranks = cut_lineage(ids.withColumn("rank", F.lit(1.0 / n)))
-    done = 0
+    fan_out = pairs.groupBy("src").agg((F.lit(alpha) / F.count("*")).alias("share"))
+    links = cut_lineage(pairs.join(fan_out, "src"))
+    ids = cut_lineage(links.selectExpr("explode(array(src, dst)) AS id").distinct())
+    start = 1.0 / max(ids.count(), 1)
+    mass = ids.withColumn("mass", F.lit(start))
+    parts, done = mass, 0
     while done < max_iter:
+        found = None
         for _ in range(min(steps_per_cut, max_iter - done)):
-            previous = ranks
-            moved = links.join(previous.withColumnRenamed("id", "src"), "src").groupBy(F.col("dst").alias("id")).agg(
-                F.sum(F.col("share") * F.col("rank")).alias("got"))
-            kept = moved.agg(F.sum("got"))
-            ranks = moved.select("id", ((1 - alpha) / n + alpha * (F.col("got") + (1 - kept.scalar()) / n)).alias("rank"))
             done += 1
-        compared = cut_lineage(ranks.join(previous.withColumnRenamed("rank", "old"), "id"))
-        ranks = compared.select("id", "rank")
-        change = compared.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
-        if change < tol * n:
+            mass = links.join(mass.withColumnRenamed("id", "src"), "src").groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("share") * F.col("mass")).alias("mass"))
+            at = mass.withColumn("step", F.lit(done))
+            found = at if found is None else found.unionByName(at)
+        found = cut_lineage(found)
+        mass = found.filter(F.col("step") == done).drop("step")
+        parts = cut_lineage(parts.unionByName(found.drop("step")).groupBy("id").agg(F.sum("mass").alias("mass")))
+        left = mass.agg(F.sum("mass")).first()[0]
+        if left is None or left * alpha / (1 - alpha) < tol:
             break
-    return ranks
+    total = parts.agg(F.sum("mass"))
+    return parts.select("id", (F.col("mass") / total.scalar()).alias("rank"))
 
 
 def betweenness(edges: DataFrame, levels_per_cut: int = 4) -> DataFrame:

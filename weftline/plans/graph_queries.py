@@ -243,7 +243,12 @@ def g18_hubs(t):
         "id", F.col("in_degree").alias("writers"), F.col("out_degree").alias("readers"), "total")
 
 
-@query("g19_pagerank")
+_RANK_WALK = """SELECT id, 1.0::DOUBLE / (SELECT count(*) FROM nodes) AS mass FROM nodes
+    UNION ALL SELECT s.dst, w.mass * s.share FROM rank_walk w JOIN shares s ON s.src = w.id"""
+_SHARES = "SELECT src, dst, 0.85::DOUBLE / count(*) OVER (PARTITION BY src) AS share FROM (SELECT DISTINCT src, dst FROM edges)"
+
+
+@query("g19_pagerank", "SELECT id, round(sum(mass) / (SELECT sum(mass) FROM rank_walk), 9) AS rank FROM rank_walk GROUP BY id", shares=_SHARES, rank_walk=_RANK_WALK)
 def g19(t):
     return centrality.pagerank(t.graph[0]).select("id", F.round("rank", 9).alias("rank"))
 
@@ -276,7 +281,18 @@ def g21(t):
     return centrality.components(t.graph[0])
 
 
-@query("g21_communities")
+_SYM = "SELECT src, dst FROM und_links UNION SELECT id, id FROM nodes"
+
+
+def _label_round(done: int) -> str:
+    """Labels after ``done`` rounds of propagation."""
+    if done == 0:
+        return "SELECT id, id AS community FROM nodes"
+    return (f"SELECT src AS id, arg_min(community, (-votes, community)) AS community FROM (SELECT s.src, l.community, count(*) AS votes "
+            f"FROM sym_links s JOIN label_{done - 1} l ON l.id = s.dst GROUP BY ALL) GROUP BY src")
+
+
+@query("g21_communities", "SELECT id, community FROM label_6", und_links=_UND, sym_links=_SYM, **{f"label_{i}": _label_round(i) for i in range(7)})
 def g21_communities(t):
     return centrality.communities(t.graph[0])
 

@@ -9,8 +9,6 @@ from weftline.operators import catalog, tabular, temporal
 from weftline.plans.registry import query
 from weftline.session import cut_lineage, scratch_path
 
-_PRICE = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-
 
 def sales(t):
     return t.read("lineitem").join(t.read("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t.read("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -81,7 +79,7 @@ def a01(t):
 @query("a02_customer_metrics", """SELECT o_custkey, count(*) AS n_items, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue, round(sum(l_extendedprice * (1 - l_discount)), 4) / count(*) AS avg_item,
     count(DISTINCT l_partkey) AS n_parts, max(o_orderdate) AS last_order FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' GROUP BY o_custkey""")
 def a02(t):
-    joined = t.read("lineitem").join(t.read("orders").filter("o_orderstatus <> 'P'"), F.col("l_orderkey") == F.col("o_orderkey")).withColumn("revenue", _PRICE)
+    joined = t.read("lineitem").join(t.read("orders").filter("o_orderstatus <> 'P'"), F.col("l_orderkey") == F.col("o_orderkey")).withColumn("revenue", F.col("l_extendedprice") * (1 - F.col("l_discount")))
     return joined.groupBy("o_custkey").agg(
         F.count("*").alias("n_items"), F.round(F.sum("revenue"), 4).alias("revenue"), (F.round(F.sum("revenue"), 4) / F.count("*")).alias("avg_item"),
         F.countDistinct("l_partkey").alias("n_parts"), F.max("o_orderdate").alias("last_order"))

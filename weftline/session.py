@@ -50,6 +50,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and return a frame reading it."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared checkpoint folder and return a frame reading it.
+
+    Later plans start at that table, so a lost executor costs a re-read instead of the whole
+    history, and its file sizes tell the optimizer whether a side is small enough to broadcast.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

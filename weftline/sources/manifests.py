@@ -9,7 +9,7 @@ from weftline.schemas import MANIFEST, SNAPSHOT_LOG
 
 
 def parse_manifests(docs: DataFrame, column: str = "manifest") -> DataFrame:
-    return docs.select(F.from_json(column, MANIFEST).alias("m")).select("m.*")
+    return docs.select(F.inline(F.array(F.from_json(column, MANIFEST))))
 
 
 def model_graph(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +65,7 @@ def payload_edges(payload: DataFrame) -> DataFrame:
 
 def snapshot_changes(docs: DataFrame, column: str = "metadata") -> DataFrame:
     """Who changed a table when, from the snapshot list of its metadata document."""
-    parsed = docs.select(F.from_json(column, SNAPSHOT_LOG).alias("m"))
-    return parsed.selectExpr("m.table AS dataset", "inline(m.snapshots)").selectExpr(
+    parsed = docs.select(F.inline(F.array(F.from_json(column, SNAPSHOT_LOG))))
+    return parsed.selectExpr("table AS dataset", "inline(snapshots)").selectExpr(
         "dataset", "`snapshot-id` AS snapshot_id", "`timestamp-ms` AS timestamp_ms", "operation",
         "CAST(summary['added-records'] AS BIGINT) AS added_records")

@@ -30,4 +30,4 @@ def topic_stream(spark: SparkSession, servers: str, topic: str, schema: str) ->
 
 
 def parse_values(raw: DataFrame, schema: str) -> DataFrame:
-    return raw.select(F.from_json("value", schema).alias("event")).select("event.*")
+    return raw.select(F.inline(F.array(F.from_json("value", schema))))
