@@ -9,7 +9,7 @@ from weftline.operators.traversal import HOPS_PER_ROUND, flow, reach, roots_of
 from weftline.session import cut_lineage
 
 
-def simple_paths(edges: DataFrame, pairs: DataFrame, hops_per_round: int = 2) -> DataFrame:
+def simple_paths(edges: DataFrame, pairs: DataFrame, hops_per_round: int = HOPS_PER_ROUND) -> DataFrame:
     """(root, target, path) for every simple path of each (root, target) pair.
 
     Walks only enter nodes that lie between the two ends, so no dead branch is expanded
@@ -23,19 +23,24 @@ def simple_paths(edges: DataFrame, pairs: DataFrame, hops_per_round: int = 2) ->
     allowed = between.withColumnRenamed("node", "dst")
     live = pairs.join(between.filter("root = node"), ["root", "target"], "left_semi").select(
         "root", "target", F.array("root").alias("path"))
+    arrived = F.element_at("path", -1) == F.col("target")
     finished = None
     while True:
-        for _ in range(hops_per_round):
-            grown = (
-                live.withColumn("src", F.element_at("path", -1)).join(steps, "src")
+        step, found = live, None
+        for hop in range(1, hops_per_round + 1):
+            step = (
+                step.withColumn("src", F.element_at("path", -1)).join(steps, "src")
                 .join(allowed, ["root", "target", "dst"], "left_semi")
                 .filter(~F.array_contains("path", F.col("dst")))
                 .select("root", "target", F.concat("path", F.array("dst")).alias("path"))
             )
-            at_end = grown.filter(F.element_at("path", -1) == F.col("target"))
-            finished = at_end if finished is None else finished.unionByName(at_end)
-            live = grown.filter(F.element_at("path", -1) != F.col("target"))
-        live, finished = cut_lineage(live), cut_lineage(finished)
+            at = step.withColumn("hop", F.lit(hop))
+            found = at if found is None else found.unionByName(at)
+            step = step.filter(~arrived)
+        found = cut_lineage(found)
+        ended = found.filter(arrived).drop("hop")
+        finished = ended if finished is None else finished.unionByName(ended)
+        live = found.filter((F.col("hop") == hops_per_round) & ~arrived).drop("hop")
         if live.isEmpty():
             return finished
 
@@ -63,17 +68,17 @@ def shortest_paths(
                 step.select("root", F.col("node").alias("src"), "path").join(steps, "src")
                 .groupBy("root", F.col("dst").alias("node"))
                 .agg(F.min(F.concat("path", F.array("dst"))).alias("path"))
-                .withColumn("depth", F.lit(level + hop))
             )
-            found = step if found is None else found.unionByName(step)
+            at = step.withColumn("hop", F.lit(hop))
+            found = at if found is None else found.unionByName(at)
         fresh = cut_lineage(
-            found.groupBy("root", "node").agg(F.min(F.struct("depth", "path")).alias("best"))
-            .select("root", "node", "best.depth", "best.path")
+            found.groupBy("root", "node").agg(F.min(F.struct("hop", "path")).alias("best"))
+            .select("root", "node", "best.hop", (F.size("best.path") - 1).alias("depth"), "best.path")
             .join(seen, ["root", "node"], "left_anti")
         )
-        seen = seen.unionByName(fresh)
+        seen = seen.unionByName(fresh.drop("hop"))
         level += hops
-        frontier = fresh.filter(F.col("depth") == level)
+        frontier = fresh.filter(F.col("hop") == hops)
         if frontier.isEmpty():
             break
     return seen.filter("depth > 0")
@@ -97,15 +102,15 @@ def named_walks(edges: DataFrame, keep_path: bool, hops_per_round: int = HOPS_PE
         for hop in range(1, hops_per_round + 1):
             longer = F.concat("path", F.array("dst")) if keep_path else F.col("path")
             step = (
-                step.select(F.col("node").alias("src"), "path").join(steps, "src")
-                .groupBy(F.col("dst").alias("node")).agg(F.min(longer).alias("path"))
-                .select("node", F.lit(level + hop).alias("hops"), "path")
+                step.select(F.col("node").alias("src"), "path", "hops").join(steps, "src")
+                .groupBy(F.col("dst").alias("node"), (F.col("hops") + 1).alias("hops")).agg(F.min(longer).alias("path"))
             )
-            found = step if found is None else found.unionByName(step)
+            at = step.withColumn("hop", F.lit(hop))
+            found = at if found is None else found.unionByName(at)
         found = cut_lineage(found)
-        walks = walks.unionByName(found)
+        walks = walks.unionByName(found.drop("hop"))
         level += hops_per_round
-        frontier = found.filter(F.col("hops") == level)
+        frontier = found.filter(F.col("hop") == hops_per_round)
         if frontier.isEmpty():
             return walks if keep_path else walks.drop("path")
         if level > limit:

@@ -52,29 +52,31 @@ def reach(
     """
     pairs = cut_lineage(flow(edges, direction))
     start = F.col("node") if "node" in roots.columns else F.col("root")
-    seen = cut_lineage(roots.select("root", start.alias("node"), F.lit(0).alias("depth")).distinct())
-    frontier, level, rounds = seen, 0, 0
+    frontier = cut_lineage(roots.select("root", start.alias("node"), F.lit(0).alias("depth")).distinct())
+    seen, level, rounds = frontier, 0, 0
     while max_depth is None or level < max_depth:
         hops = hops_per_round if max_depth is None else min(hops_per_round, max_depth - level)
-        step, found = frontier.select("root", "node"), None
+        # Depth and hop are columns, not literals that change: every round then runs the code
+        # generated for the first one.
+        step, found = frontier.select("root", "node", "depth"), None
         for hop in range(1, hops + 1):
             step = (
                 step.join(pairs, step["node"] == pairs["src"])
-                .select("root", F.col("dst").alias("node"))
+                .select("root", F.col("dst").alias("node"), (F.col("depth") + 1).alias("depth"))
                 .distinct()
             )
-            at = step.withColumn("depth", F.lit(level + hop))
+            at = step.withColumn("hop", F.lit(hop))
             found = at if found is None else found.unionByName(at)
         fresh = cut_lineage(
-            found.groupBy("root", "node").agg(F.min("depth").alias("depth"))
+            found.groupBy("root", "node").agg(F.min("depth").alias("depth"), F.min("hop").alias("hop"))
             .join(seen, ["root", "node"], "left_anti")
         )
-        seen = seen.unionByName(fresh)
+        seen = seen.unionByName(fresh.drop("hop"))
         level += hops
         rounds += 1
         if rounds % ROUNDS_PER_CUT == 0:
             seen = cut_lineage(seen)
-        frontier = fresh.filter(F.col("depth") == level)
+        frontier = fresh.filter(F.col("hop") == hops)
         if stop_after is not None:
             full = fresh.groupBy("root").count().filter(F.col("count") >= stop_after).select("root")
             frontier = frontier.join(full, "root", "left_anti")
