@@ -55,18 +55,25 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def wide(self, name: str) -> DataFrame:
+        """A table about to be worked on row by row at some cost. One that comes in fewer
+        pieces than there are cores is spread out first; a large one is left as it is."""
+        df = self.read(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     @cached_property
     def scale(self) -> int:
         # Parquet footers answer this count; no column is read.
         return max(self.read("events").count() // 1000, 1)
 
     # run events -------------------------------------------------------------
-    def runs(self, large: bool = True) -> DataFrame:
+    def runs(self, large: bool = True, wide: bool = False) -> DataFrame:
         """One row per run-state change; ``large`` widens the graph with the event count."""
         s = self.scale if large else 1
         jobs, datasets = 60 * s, 24 * s
         return (
-            self.read("events")
+            (self.wide("events") if wide else self.read("events"))
             .selectExpr(
                 "event_id", "ts", "user_id", "event_type", "value",
                 "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
@@ -102,7 +109,7 @@ class Tables:
             "'dataQualityAssertions', named_struct('assertions', array(named_struct('assertion', 'chk_' || (event_id % 3), 'column', c1, 'success', event_type <> 'error'))))))))"
         )
         return (
-            self.runs()
+            self.runs(wide=True)
             .selectExpr("*", f"element_at({cols}, CAST(event_id % 5 AS INT) + 1) AS c1", f"element_at({cols}, CAST((event_id + 2) % 5 AS INT) + 1) AS c2")
             .selectExpr("event_id", "k", f"{doc} AS doc")
             .selectExpr("event_id", "CASE WHEN k = 3 THEN left(doc, 40) ELSE doc END AS doc")
@@ -258,7 +265,7 @@ class Tables:
     def chunks(self) -> DataFrame:
         from weftline.operators.rag import chunk_documents
 
-        return chunk_documents(self.read("documents"), size=200)
+        return chunk_documents(self.wide("documents"), size=200)
 
     @cached_property
     def n_docs(self) -> int:

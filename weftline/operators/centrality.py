@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.traversal import flow, reach, roots_of
+from weftline.operators.traversal import flow, reach, roots_of, stored_flow
 from weftline.session import cut_lineage
 
 
@@ -27,7 +27,7 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
     """
     pairs = flow(edges, "downstream")
     fan_out = pairs.groupBy("src").agg((F.lit(alpha) / F.count("*")).alias("share"))
-    links = cut_lineage(pairs.join(fan_out, "src"))
+    links = cut_lineage(pairs.join(fan_out, "src")).filter("src IS NOT NULL AND dst IS NOT NULL")
     ids = cut_lineage(links.selectExpr("explode(array(src, dst)) AS id").distinct())
     start = 1.0 / max(ids.count(), 1)
     mass = ids.withColumn("mass", F.lit(start))
@@ -55,7 +55,7 @@ def betweenness(edges: DataFrame, levels_per_cut: int = 4) -> DataFrame:
     Shortest-path counts grow level by level over the edges that lie on shortest paths;
     dependencies are then summed backwards over the same edges.
     """
-    pairs = cut_lineage(flow(edges, "downstream"))
+    pairs = stored_flow(edges, "downstream")
     ids = pairs.selectExpr("explode(array(src, dst)) AS id").distinct()
     n = ids.count()
     near = reach(pairs, roots_of(pairs, "src"), include_root=True)

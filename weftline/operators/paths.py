@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.traversal import HOPS_PER_ROUND, flow, reach, roots_of
+from weftline.operators.traversal import HOPS_PER_ROUND, flow, reach, roots_of, stored_flow
 from weftline.session import cut_lineage
 
 
@@ -15,7 +15,7 @@ def simple_paths(edges: DataFrame, pairs: DataFrame, hops_per_round: int = HOPS_
     Walks only enter nodes that lie between the two ends, so no dead branch is expanded
     and no path has to be dropped.
     """
-    steps = cut_lineage(flow(edges, "downstream"))
+    steps = stored_flow(edges, "downstream")
     pairs = pairs.select("root", "target").distinct()
     ahead = reach(steps, roots_of(pairs, "root"), "downstream", include_root=True).select("root", "node")
     behind = reach(steps, roots_of(pairs, "target"), "upstream", include_root=True).select(F.col("root").alias("target"), "node")
@@ -56,7 +56,7 @@ def shortest_paths(
     steps = flow(edges, "downstream")
     if undirected:
         steps = steps.unionByName(flow(edges, "upstream")).distinct()
-    steps = cut_lineage(steps)
+    steps = cut_lineage(steps).filter("src IS NOT NULL AND dst IS NOT NULL")
     limit = None if max_nodes is None else max_nodes - 1
     seen = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth"), F.array("root").alias("path")).distinct()
     frontier, level = seen, 0
@@ -72,9 +72,9 @@ def shortest_paths(
             at = step.withColumn("hop", F.lit(hop))
             found = at if found is None else found.unionByName(at)
         fresh = cut_lineage(
-            found.groupBy("root", "node").agg(F.min(F.struct("hop", "path")).alias("best"))
+            found.unionByName(seen.select("root", "node", "path", F.lit(0).alias("hop")))
+            .groupBy("root", "node").agg(F.min(F.struct("hop", "path")).alias("best")).filter("best.hop > 0")
             .select("root", "node", "best.hop", (F.size("best.path") - 1).alias("depth"), "best.path")
-            .join(seen, ["root", "node"], "left_anti")
         )
         seen = seen.unionByName(fresh.drop("hop"))
         level += hops
@@ -90,7 +90,7 @@ def named_walks(edges: DataFrame, keep_path: bool, hops_per_round: int = HOPS_PE
     Each length keeps its smallest path. The graph must be acyclic; a walk longer than the
     number of nodes proves a cycle and raises.
     """
-    steps = cut_lineage(flow(edges, "downstream"))
+    steps = stored_flow(edges, "downstream")
     limit = steps.selectExpr("explode(array(src, dst)) AS id").distinct().count()
     starts = steps.select(F.col("src").alias("node")).distinct().join(
         steps.select(F.col("dst").alias("node")), "node", "left_anti")

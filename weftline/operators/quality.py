@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.ordered import running_moments, top_rows
-from weftline.operators.traversal import HOPS_PER_ROUND, flow, reach, roots_of
+from weftline.operators.traversal import HOPS_PER_ROUND, reach, roots_of, stored_flow
 from weftline.session import cut_lineage
 
 
@@ -88,7 +88,7 @@ def trust_scores(edges: DataFrame, reports: DataFrame, hops_per_round: int = HOP
     (node, ancestor, depth) is carried, not the paths. ``reports`` is (id, passed). Nodes of
     the graph without a report score 0.5; the graph must be acyclic.
     """
-    pairs = cut_lineage(flow(edges, "upstream"))
+    pairs = stored_flow(edges, "upstream")
     judged = cut_lineage(reports.select("id", F.when(F.col("passed"), 1.0).otherwise(0.0).alias("own")))
     limit = pairs.selectExpr("explode(array(src, dst)) AS id").distinct().count()
     walk = judged.select("id", F.col("id").alias("node"), F.lit(1).cast("long").alias("n_paths"))

@@ -27,6 +27,12 @@ def flow(edges: DataFrame, direction: str) -> DataFrame:
     return pairs.distinct()
 
 
+def stored_flow(edges: DataFrame, direction: str) -> DataFrame:
+    """``flow`` as a stored table. Saying that no end is null spares every later join a filter of
+    its own, so the hops of a round stay identical plans and share one shuffle each."""
+    return cut_lineage(flow(edges, direction)).filter("src IS NOT NULL AND dst IS NOT NULL")
+
+
 def roots_of(df: DataFrame, column: str = "id") -> DataFrame:
     return df.select(F.col(column).alias("root")).distinct()
 
@@ -50,7 +56,7 @@ def reach(
     those nodes, so many starts can share one label. Starts are left out unless ``include_root``. ``max_depth`` is inclusive.
     ``stop_after`` ends the loop once every level up to that many nodes per root is complete.
     """
-    pairs = cut_lineage(flow(edges, direction))
+    pairs = stored_flow(edges, direction)
     start = F.col("node") if "node" in roots.columns else F.col("root")
     frontier = cut_lineage(roots.select("root", start.alias("node"), F.lit(0).alias("depth")).distinct())
     seen, level, rounds = frontier, 0, 0
@@ -62,14 +68,15 @@ def reach(
         for hop in range(1, hops + 1):
             step = (
                 step.join(pairs, step["node"] == pairs["src"])
-                .select("root", F.col("dst").alias("node"), (F.col("depth") + 1).alias("depth"))
-                .distinct()
+                .groupBy("root", F.col("dst").alias("node")).agg(F.min(F.col("depth") + 1).alias("depth"))
             )
             at = step.withColumn("hop", F.lit(hop))
             found = at if found is None else found.unionByName(at)
+        # Known pairs take part with hop 0 and win; one sum replaces a sum and an anti join.
         fresh = cut_lineage(
-            found.groupBy("root", "node").agg(F.min("depth").alias("depth"), F.min("hop").alias("hop"))
-            .join(seen, ["root", "node"], "left_anti")
+            found.unionByName(seen.withColumn("hop", F.lit(0)))
+            .groupBy("root", "node").agg(F.min("depth").alias("depth"), F.min("hop").alias("hop"))
+            .filter("hop > 0")
         )
         seen = seen.unionByName(fresh.drop("hop"))
         level += hops

@@ -165,7 +165,7 @@ _TEXT_SQL = " UNION ALL ".join(
 
 @query("v15_pii_in_text", _TEXT_SQL)
 def v15(t):
-    return gov.scan_text(t.read("documents"), "doc_id", "text")
+    return gov.scan_text(t.wide("documents"), "doc_id", "text")
 
 
 def _redact_sql() -> str:
@@ -177,4 +177,4 @@ def _redact_sql() -> str:
 
 @query("v15_redacted_text", f"SELECT doc_id, md5({_redact_sql()}) AS text_hash FROM documents")
 def v15_redacted(t):
-    return t.read("documents").select("doc_id", F.md5(gov.redact("text")).alias("text_hash"))
+    return t.wide("documents").select("doc_id", F.md5(gov.redact("text")).alias("text_hash"))
