@@ -57,6 +57,13 @@ def test_ranks_and_quantiles_are_exact(skewed):
         assert mids[key]["q"] == pytest.approx(statistics.median(seen))
 
 
+def test_previous_value_crosses_buckets(skewed):
+    data, df = skewed
+    got = {r["i"]: r["before"] for r in ordered.previous_value(df, ["key"], "v", "i", F.col("day"), "before").collect()}
+    for values in by_key(data).values():
+        assert [got[i] for i, _ in values] == [None] + [v for _, v in values[:-1]]
+
+
 def test_equal_values_have_no_spread(spark):
     df = spark.createDataFrame([(i, "a", 0.1, i // 3) for i in range(12)] + [(12, "a", 9.0, 4)], "i int, key string, v double, day int")
     plain = {r["i"]: r["is_anomaly"] for r in quality.z_scores(df, ["key"], "v", ["i"], F.col("day")).collect()}

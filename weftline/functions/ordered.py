@@ -64,26 +64,52 @@ def running_moments(df: DataFrame, keys: list[str], value: str, order: list[str]
     ).drop("_bucket", "_pn", "_pm", "_ps", "_wn", "_wm", "_wv")
 
 
+def previous_value(df: DataFrame, keys: list[str], value: str, order: str, bucket: Column, name: str) -> DataFrame:
+    """Add ``name``, the value of the row before in each key. The first row of a bucket takes the
+    last value of the bucket before it. ``bucket`` must not decrease along ``order``."""
+    rows = df.withColumn("_bucket", bucket)
+    ends = rows.groupBy(*keys, "_bucket").agg(F.max_by(value, order).alias("_last"))
+    ends = ends.select(*keys, "_bucket", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carried"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(order)
+    rows = rows.withColumn("_place", F.row_number().over(inside)).withColumn("_near", F.lag(value).over(inside))
+    picked = F.when(F.col("_place") == 1, F.col("_carried")).otherwise(F.col("_near"))
+    return rows.join(ends, [*keys, "_bucket"]).withColumn(name, picked).drop("_bucket", "_place", "_near", "_carried")
+
+
+def _in_bins(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Add the histogram bin of every value between the least and greatest value of its group."""
+    ends = rows.groupBy(*group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    share = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    bin_no = F.coalesce(F.least(F.floor(share * HISTOGRAM_BINS), F.lit(HISTOGRAM_BINS - 1)), F.lit(0))
+    return rows.join(ends, group).withColumn("_bin", bin_no).drop("_lo", "_hi")
+
+
+def _with_start(sizes: DataFrame, group: list[str]) -> DataFrame:
+    earlier = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+
+
 def values_at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Column]) -> DataFrame:
     """(keys, n, <name>...): the value at each 0-based rank of the sorted values of a key.
 
-    ``ranks`` gives a rank as an expression of ``n``. Equal values are counted once first,
-    a histogram per key finds the bin that holds each rank, and only that bin is sorted.
+    ``ranks`` gives a rank as an expression of ``n``. Equal values are counted once first. A
+    histogram per key finds the bin that holds a rank, a second histogram inside that bin
+    narrows it again, which copes with far outliers, and only what is left is sorted.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
-    bounds = counts.groupBy(*keys).agg(F.sum("_c").alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    width = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    binned = counts.join(bounds, keys).withColumn(
-        "_bin", F.coalesce(F.least(F.floor(width * HISTOGRAM_BINS), F.lit(HISTOGRAM_BINS - 1)), F.lit(0)))
-    sizes = binned.groupBy(*keys, "_bin", "n").agg(F.sum("_c").alias("_size"))
-    earlier = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    binned = _in_bins(counts, keys)
+    sizes = _with_start(binned.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_size")), keys)
+    sizes = sizes.withColumn("n", F.sum("_size").over(Window.partitionBy(*keys)))
     wanted = F.explode(F.create_map(*[part for name, rank in ranks.items() for part in (F.lit(name), rank.cast("long"))])).alias("_name", "_rank")
-    targets = sizes.select(*keys, "_bin", "_size", "_start", wanted).filter("_start <= _rank AND _rank < _start + _size")
-    inside = Window.partitionBy(*keys, "_name", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        binned.select(*keys, "_bin", "_v", "_c", "n").join(targets.drop("_size"), [*keys, "_bin"])
-        .withColumn("_end", F.col("_start") + F.sum("_c").over(inside)).filter("_rank < _end AND _rank >= _end - _c"))
+    holds = "_start <= _rank AND _rank < _start + _size"
+    first = sizes.select(*keys, "_bin", "_size", "_start", "n", wanted).filter(holds)
+    group = [*keys, "_name"]
+    live = binned.join(first, [*keys, "_bin"]).select(*group, "n", "_v", "_c", (F.col("_rank") - F.col("_start")).alias("_rank"))
+    again = _in_bins(live, group)
+    inner = _with_start(again.groupBy(*group, "_bin", "_rank").agg(F.sum("_c").alias("_size")), group).filter(holds)
+    left = again.drop("_rank").join(inner.select(*group, "_bin", (F.col("_rank") - F.col("_start")).alias("_rank")), [*group, "_bin"])
+    upto = Window.partitionBy(*group).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    found = left.withColumn("_end", F.sum("_c").over(upto)).filter("_rank < _end AND _rank >= _end - _c")
     return found.groupBy(*keys, "n").agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks])
 
 

@@ -29,7 +29,8 @@ def z_scores(df: DataFrame, keys: list[str], value: str, order: list[str], bucke
     scored = running_moments(df, keys, value, order, bucket)
     away = F.abs(F.col(value) - F.col("prior_mean"))
     z = F.when(F.col("prior_stdev") > 0, away / F.col("prior_stdev"))
-    flat = (F.col(value) != F.col("prior_mean")) if zero_spread_is_anomaly else F.lit(False)
+    # A mean of equal values may be off by rounding, which is no difference.
+    flat = (away > F.abs("prior_mean") * 1e-9) if zero_spread_is_anomaly else F.lit(False)
     flag = F.when(F.col("prior_n") < min_history, False).when(F.col("prior_stdev") > 0, away / F.col("prior_stdev") > threshold).otherwise(flat)
     return scored.withColumn("z", z).withColumn("is_anomaly", flag)
 

@@ -268,9 +268,16 @@ def g20(t):
     return centrality.betweenness(t.graph[0]).select("id", F.round("score", 9).alias("score"))
 
 
-@query("g20_critical_nodes")
+_DEGREES = """SELECT id, CAST(sum(incoming) AS BIGINT) AS in_degree, CAST(sum(outgoing) AS BIGINT) AS out_degree, count(*) AS total FROM (
+    SELECT src AS id, 1 AS outgoing, 0 AS incoming FROM edges UNION ALL SELECT dst, 0, 1 FROM edges) GROUP BY id"""
+
+
+@query("g20_critical_nodes", f"""SELECT id, score, in_degree, out_degree, total, rank FROM ({_BC}) JOIN ({_DEGREES}) USING (id)
+    JOIN (SELECT id, round(sum(mass) / (SELECT sum(mass) FROM rank_walk), 9) AS rank FROM rank_walk GROUP BY id) USING (id) ORDER BY score DESC, id LIMIT 5""",
+       every_walk=_WALKS, spc=_SPC, shares=_SHARES, rank_walk=_RANK_WALK)
 def g20_top(t):
-    return centrality.critical_nodes(t.graph[0], top_n=5)
+    best = centrality.critical_nodes(t.graph[0], top_n=5)
+    return best.withColumns({"score": F.round("score", 9), "rank": F.round("rank", 9)})
 
 
 _COMP_WALK = """SELECT id AS a, id AS b FROM nodes UNION SELECT w.a, e.dst FROM comp_walk w JOIN und_links e ON e.src = w.b"""

@@ -101,7 +101,7 @@ def p13(t):
     return coded.groupBy(catalog.base_name("coded").alias("name")).agg(F.count("*").alias("n"))
 
 
-@query("p14_pipeline_prefix", "SELECT DISTINCT job_ns, input AS dataset, CASE WHEN input NOT IN (SELECT dst FROM edges) THEN input ELSE job_ns || '.' || input END AS prefixed FROM (SELECT in_a AS input, job_ns FROM ol UNION SELECT in_b, job_ns FROM ol)")
+@query("p14_modular_prefix", "SELECT DISTINCT job_ns, input AS dataset, CASE WHEN input NOT IN (SELECT dst FROM edges) THEN input ELSE job_ns || '.' || input END AS prefixed FROM (SELECT in_a AS input, job_ns FROM ol UNION SELECT in_b, job_ns FROM ol)")
 def p14(t):
     used = t.runs().selectExpr("explode(array(in_a, in_b)) AS dataset", "job_ns").distinct()
     written = t.runs().selectExpr("out_a AS dataset", "true AS inner").distinct()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftline.functions.ordered import positions, top_rows
+from weftline.functions.ordered import positions, previous_value, top_rows
 from weftline.operators import profiling, quality
 from weftline.plans.registry import query
 from weftline.session import cut_lineage
@@ -109,11 +109,9 @@ def w05_job(t):
 
 @query("w10_metric_drift", """SELECT dataset, run_no, m, round(m - lag(m) OVER (PARTITION BY dataset ORDER BY run_no), 6) AS change FROM (SELECT out_a AS dataset, run_no, round(avg(value), 6) AS m FROM ol GROUP BY ALL) QUALIFY change IS NOT NULL""")
 def w10(t):
-    from pyspark.sql import Window
-
     versions = t.runs().groupBy(F.col("out_a").alias("dataset"), "run_no").agg(F.round(F.avg("value"), 6).alias("m"))
-    before = F.lag("m").over(Window.partitionBy("dataset").orderBy("run_no"))
-    return versions.withColumn("change", F.round(F.col("m") - before, 6)).filter("change IS NOT NULL")
+    drift = previous_value(versions, ["dataset"], "m", "run_no", F.expr("run_no div 500"), "before")
+    return drift.withColumn("change", F.round(F.col("m") - F.col("before"), 6)).filter("change IS NOT NULL").drop("before")
 
 
 @query("w11_top_n_slowest_stages", "SELECT stage, round(sum(metric_value), 2) AS total FROM metric_history WHERE metric = 'duration_sec' GROUP BY stage ORDER BY total DESC, stage LIMIT 10")

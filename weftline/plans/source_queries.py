@@ -138,7 +138,7 @@ def declarations(t):
     return t.products().selectExpr("product AS name", "input_ports AS inputs", "output_ports AS outputs")
 
 
-@query("s13_pipeline_declaration", """SELECT DISTINCT in_ns || '/' || in_a AS src, job_name AS dst, 'input' AS type FROM ol UNION SELECT in_ns || '/' || in_b, job_name, 'input' FROM ol
+@query("s13_task_declaration", """SELECT DISTINCT in_ns || '/' || in_a AS src, job_name AS dst, 'input' AS type FROM ol UNION SELECT in_ns || '/' || in_b, job_name, 'input' FROM ol
     UNION SELECT job_name, out_ns || '/' || out_a, 'output' FROM ol""")
 def s13(t):
     return manifests.declared_graph(declarations(t))

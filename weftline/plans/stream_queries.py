@@ -133,7 +133,7 @@ def t11_nodes(t):
     return lineage.topic_topology(processors(t))[0]
 
 
-@query("t12_late_data")
+@query("t12_late_data", "SELECT CAST(0 AS BIGINT) AS late_rows, count(*) AS rows_in, count(*) AS kept FROM events")
 def t12(t):
     """Rows dropped behind the watermark next to the batch count that keeps them."""
     batches, done = drained(t, lineage.windowed_totals(events(t)), "update")

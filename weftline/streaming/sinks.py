@@ -51,7 +51,10 @@ def finish(query: StreamingQuery) -> StreamingQuery:
 
 
 def batch_log(query: StreamingQuery) -> DataFrame:
-    """One row per finished micro-batch: offsets, rows in, rows dropped as late."""
+    """One row per finished micro-batch: offsets, rows in, rows dropped as late.
+
+    Covers the batches the query still remembers (spark.sql.streaming.numRecentProgressUpdates).
+    """
     spark = query.sparkSession if hasattr(query, "sparkSession") else SparkSession.getActiveSession()
     rows = []
     for progress in query.recentProgress:
