@@ -30,7 +30,7 @@ def resource_graph(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
     parents = manifests.selectExpr("explode(parent_map) AS (dst, parents)").selectExpr("explode(parents) AS src", "dst").distinct()
     known = nodes.select("id")
     edges = parents.join(known.withColumnRenamed("id", "src"), "src", "left_semi").join(known.withColumnRenamed("id", "dst"), "dst", "left_semi")
-    return nodes, edges
+    return nodes, edges.select("src", "dst")
 
 
 def with_catalog(nodes: DataFrame, catalog: DataFrame) -> DataFrame:
