@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES: list[str] = ["sharding", "url_filter"]
+MODULES: list[str] = ["sharding", "url_filter", "bpe"]
 
 
 def query(name: str, sql: str | None = None):
