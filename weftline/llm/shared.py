@@ -34,15 +34,10 @@ def _place(path: str) -> tuple[pafs.FileSystem, str]:
 
 def put(folder: str, name: str, *parts: bytes | np.ndarray) -> int:
     """Write ``parts`` one after another as ``folder/name``; the length in bytes."""
-    fs, root = _place(folder)
-    fs.create_dir(root, recursive=True)
-    partial, size = f"{root}/.{name}-{uuid.uuid4().hex}", 0
-    with fs.open_output_stream(partial) as out:
+    with writer(folder, name) as out:
         for part in parts:
-            out.write(part if isinstance(part, bytes) else memoryview(np.ascontiguousarray(part)).cast("B"))
-            size += len(part) if isinstance(part, bytes) else part.nbytes
-    fs.move(partial, f"{root}/{name}")
-    return size
+            out.write(part)
+    return out.size
 
 
 def read(folder: str, name: str) -> bytes:
@@ -81,3 +76,28 @@ def columns(raw: np.ndarray, *kinds: str) -> list[np.ndarray]:
         out.append(raw[at:end].view(kind))
         at = end
     return out
+
+
+class writer:
+    """A file of the folder that appears under its name once it is complete; left by an error, it never does."""
+
+    def __init__(self, folder: str, name: str):
+        self.fs, self.root = _place(folder)
+        self.name, self.partial, self.size = name, f"{self.root}/.{name}-{uuid.uuid4().hex}", 0
+
+    def __enter__(self) -> writer:
+        self.fs.create_dir(self.root, recursive=True)
+        self.stream = self.fs.open_output_stream(self.partial)
+        return self
+
+    def write(self, part: bytes | np.ndarray) -> None:
+        raw = part if isinstance(part, bytes) else memoryview(np.ascontiguousarray(part)).cast("B") if part.size else b""
+        self.stream.write(raw)
+        self.size += len(raw)
+
+    def __exit__(self, kind, *_) -> None:
+        self.stream.close()
+        if kind is None:
+            self.fs.move(self.partial, f"{self.root}/{self.name}")
+        else:
+            self.fs.delete_file(self.partial)
