@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES: list[str] = ["sharding", "url_filter", "bpe", "repair_ids", "decontaminate", "quality", "language", "topk"]
+MODULES: list[str] = ["kneser_ney", "quality", "sharding", "repair_ids", "bpe", "language", "url_filter", "topk", "decontaminate"]
 
 
 def query(name: str, sql: str | None = None):

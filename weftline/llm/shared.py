@@ -47,15 +47,17 @@ def read(folder: str, name: str) -> bytes:
 
 
 def mapped(folder: str, name: str) -> np.ndarray:
-    """The bytes of a file, mapped into memory once per worker."""
+    """The bytes of a file, mapped into memory once per worker. FileNotFoundError if there is none."""
     key = f"{folder}/{name}"
     if key in _MAPPED:
         _MAPPED.move_to_end(key)
         return _MAPPED[key]
     fs, root = _place(folder)
+    about = fs.get_file_info(f"{root}/{name}")
+    if about.type == pafs.FileType.NotFound:
+        raise FileNotFoundError(key)
     if isinstance(fs, pafs.LocalFileSystem):
-        size = fs.get_file_info(f"{root}/{name}").size
-        found = np.memmap(f"{root}/{name}", np.uint8, "r") if size else np.zeros(0, np.uint8)
+        found = np.memmap(f"{root}/{name}", np.uint8, "r") if about.size else np.zeros(0, np.uint8)
     else:
         with tempfile.TemporaryFile() as copy, fs.open_input_stream(f"{root}/{name}") as stream:
             while block := stream.read(1 << 22):
