@@ -45,6 +45,12 @@ STATEMENTS = {
     "sub": ("insert into big select * from customers where id in (select id from orders)", {"big"}, {"customers", "orders"}),
     "union": ("insert into ev select * from web union all select * from app", {"ev"}, {"web", "app"}),
     "view": ("create view v as select * from fct", {"v"}, {"fct"}),
+    "exists": ("create table if not exists mart.t as select * from x", {"mart.t"}, {"x"}),
+    "replace": ("create or replace view v2 as select * from x", {"v2"}, {"x"}),
+    "overwrite": ("insert overwrite t2 select * from raw.y, raw.z", {"t2"}, {"raw.y", "raw.z"}),
+    "merge": ("merge into tgt using raw.s on tgt.id = s.id", {"tgt"}, {"raw.s"}),
+    "columns": ("insert into t3 with c(a,b) as (select 1 from base) select extract(year from ts) from c", {"t3"}, {"base"}),
+    "quoted": ("insert into t4 select ';from q' from x -- from y;\n where a = 1", {"t4"}, {"x"}),
     "script": ("insert into a select * from b; insert into c select * from a", {"a", "c"}, {"a", "b"}),
 }
 
@@ -161,3 +167,21 @@ def test_manifest_edges_need_both_ends(spark):
     parsed = manifests.parse_manifests(spark.createDataFrame([(doc,)], "manifest string"))
     assert rows(manifests.model_graph(parsed)[1]) == [("source.s", "model.a")]
     assert rows(manifests.resource_graph(parsed)[1]) == [("model.a", "test.t"), ("source.s", "model.a")]
+
+
+def test_column_edges_take_all_transformations_and_default_names(spark, tmp_path):
+    steps = [{"description": "trim"}, {"description": "upper"}]
+    fields = {"c": {"inputFields": [{"name": "raw", "field": "a", "transformations": steps}, {"namespace": "wh", "name": "dim", "field": "b"}]}}
+    event = {"eventType": "COMPLETE", "eventTime": "t", "run": {"runId": "r"}, "job": {"name": "j"}, "outputs": [{"name": "mart", "facets": {"columnLineage": {"fields": fields}}}]}
+    (tmp_path / "e.json").write_text(json.dumps(event))
+    got = rows(run_events.facet_column_edges(run_events.well_formed(run_events.read_run_events(spark, str(tmp_path)))))
+    assert got == [("default/raw", "a", "default/mart", "c", "trim"), ("default/raw", "a", "default/mart", "c", "upper"), ("wh/dim", "b", "default/mart", "c", "IDENTITY")]
+
+
+def test_the_last_write_wins_by_id_and_ties_are_ordered(spark, tmp_path):
+    event = lambda state, run, at: json.dumps({"eventType": state, "eventTime": at, "run": {"runId": run}, "job": {"namespace": "n", "name": "x"}, "inputs": [{"namespace": "n", "name": "x"}]})
+    lines = [event("START", "r2", "2024"), event("FAIL", "r1", "2024"), event("COMPLETE", "r0", "2023")]
+    for k, order in enumerate((lines, lines[::-1])):
+        (tmp_path / f"{k}.json").write_text("\n".join(order))
+        node, = run_events.event_nodes(run_events.well_formed(run_events.read_run_events(spark, str(tmp_path / f"{k}.json")))).collect()
+        assert (node["id"], node["type"], node["last_state"], node["n_events"]) == ("n/x", "job", "START", 6)

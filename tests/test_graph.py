@@ -126,7 +126,7 @@ def test_pagerank_solves_the_damped_system(edges_of):
     rank = np.full(size, 1.0 / size)
     for _ in range(300):
         rank = 0.15 / size + 0.85 * step @ rank
-    got = {r["id"]: r["rank"] for r in centrality.pagerank(edges_of(pairs), tol=1e-9, max_iter=200).collect()}
+    got = {r["id"]: r["rank"] for r in centrality.pagerank(edges_of(pairs), tol=1e-9).collect()}
     assert abs(sum(got.values()) - 1) < 1e-9
     assert max(abs(got[n] - rank[at[n]]) for n in names) < 1e-7
 
@@ -166,5 +166,40 @@ def test_removal_breaks_links_and_roots_leaves(spark, edges_of):
     assert topology.type_violations(nodes, edges.union(edges_of([("raw", "out")]))).count() == 1
     counts = traversal.impact_counts(traversal.reach(edges, traversal.literal_roots(spark, "raw")), nodes).first()
     assert (counts["total"], counts["datasets"], counts["jobs"]) == (5, 2, 3)
-    radius = traversal.impact_radius(traversal.reach(edges, traversal.literal_roots(spark, "raw")), cap=3).select(F.struct("*")).first()[0]
-    assert (radius["direct"], radius["depth_2"], radius["total"]) == (2, 3, 5)
+    radius = traversal.impact_radius(traversal.reach(edges, traversal.literal_roots(spark, "raw"))).select(F.struct("*")).first()[0]
+    assert (radius["direct"], radius["depth_2"], radius["total"]) == (2, 4, 5)
+
+
+def test_counts_have_no_cap(spark, edges_of):
+    wide = edges_of([("r", "j")] + [("j", f"d{i}") for i in range(1500)])
+    radius = traversal.impact_radius(traversal.reach(wide, traversal.literal_roots(spark, "r"))).first()
+    assert (radius["direct"], radius["depth_2"], radius["depth_5"], radius["total"]) == (1, 1501, 1501, 1501)
+    chain = edges_of([(f"n{i}", f"n{i + 1}") for i in range(23)])
+    nodes = spark.createDataFrame([(f"n{i}", "dataset") for i in range(24)], "id string, type string")
+    assert traversal.impact_counts(traversal.reach(chain, traversal.literal_roots(spark, "n0")), nodes).first()["max_depth"] == 23
+
+
+def test_pages_are_as_long_as_asked(spark):
+    from weftline.operators import catalog
+
+    nodes = spark.range(400).selectExpr("format_string('d%03d', id) AS id", "'ns' AS namespace")
+    assert catalog.page(nodes, "ns", 250, 10).count() == 250
+    with pytest.raises(ValueError):
+        catalog.page(nodes, "ns", 0)
+
+
+def test_communities_come_to_rest(edges_of):
+    pairs = [(f"n{i:02d}", f"n{i + 1:02d}") for i in range(40)]
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, {a}).add(b)
+        near.setdefault(b, {b}).add(a)
+    now, before = {n: n for n in near}, None
+    while True:
+        votes = {n: [now[m] for m in near[n]] for n in near}
+        after = {n: min(votes[n], key=lambda x: (-votes[n].count(x), x)) for n in near}
+        if after == now or after == before:
+            break
+        now, before = after, now
+    got = {r["id"]: r["community"] for r in centrality.communities(edges_of(pairs)).collect()}
+    assert got == {n: min(now[n], after[n]) for n in near}

@@ -24,6 +24,22 @@ STATE_OF = {"signup": "START", "view": "RUNNING", "purchase": "COMPLETE", "error
 MODEL_NAMES = ["gpt-4-turbo", "gpt-4o", "gpt-3.5-turbo", "claude-3-opus", "claude-3-sonnet"]
 
 
+SCRIPT_SHAPES = [
+    "create table if not exists {o} as select * from {a}",
+    "create or replace view {o} as select * from {a}",
+    "insert overwrite table {o} select * from {a}, {b} where {a}.id = {b}.id",
+    "merge into {o} using {a} s on {o}.id = s.id when matched then update set v = 1",
+    "with c(x, y) as (select * from {a}) insert into {o} select * from c join {b} on true",
+    "insert into {o} select extract(year from ts) from {a} where note = 'it''s; drop from zz'",
+    "-- from nowhere\ninsert into {o} select * from {a} /* join\nnothing; */ join {b} using (id)",
+    "CREATE OR REPLACE TEMPORARY VIEW {o} AS SELECT * FROM {a} x, {b} AS y",
+    "insert into {o} select * from {a} where k is distinct from 1",
+    'insert into "{o}" select * from `{a}`',
+    "create materialized view {o} as (select trim(both from name), f from {a}, unnest(xs))",
+    "update {o} set v = 1; delete from {b}; insert into {o} select * from {a}",
+]
+
+
 def sql_array(values: list[str]) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -55,25 +71,18 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def wide(self, name: str) -> DataFrame:
-        """A table about to be worked on row by row at some cost. One that comes in fewer
-        pieces than there are cores is spread out first; a large one is left as it is."""
-        df = self.read(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     @cached_property
     def scale(self) -> int:
         # Parquet footers answer this count; no column is read.
         return max(self.read("events").count() // 1000, 1)
 
     # run events -------------------------------------------------------------
-    def runs(self, large: bool = True, wide: bool = False) -> DataFrame:
-        """One row per run-state change; ``large`` widens the graph with the event count."""
-        s = self.scale if large else 1
+    def runs(self) -> DataFrame:
+        """One row per run-state change; the graph widens with the event count."""
+        s = self.scale
         jobs, datasets = 60 * s, 24 * s
         return (
-            (self.wide("events") if wide else self.read("events"))
+            self.read("events")
             .selectExpr(
                 "event_id", "ts", "user_id", "event_type", "value",
                 "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
@@ -109,15 +118,15 @@ class Tables:
             "'dataQualityAssertions', named_struct('assertions', array(named_struct('assertion', 'chk_' || (event_id % 3), 'column', c1, 'success', event_type <> 'error'))))))))"
         )
         return (
-            self.runs(wide=True)
+            self.runs()
             .selectExpr("*", f"element_at({cols}, CAST(event_id % 5 AS INT) + 1) AS c1", f"element_at({cols}, CAST((event_id + 2) % 5 AS INT) + 1) AS c2")
             .selectExpr("event_id", "k", f"{doc} AS doc")
             .selectExpr("event_id", "CASE WHEN k = 3 THEN left(doc, 40) ELSE doc END AS doc")
         )
 
-    def edge_log(self, large: bool = True) -> DataFrame:
+    def edge_log(self) -> DataFrame:
         """Three edges per run event, repeats kept."""
-        return self.runs(large).selectExpr(
+        return self.runs().selectExpr(
             "event_id", "ts", "run_no", "job_no", "value", "k",
             "inline(array("
             "named_struct('src', in_a, 'dst', job_name, 'type', 'CONSUMED_BY'),"
@@ -125,11 +134,11 @@ class Tables:
             "named_struct('src', job_name, 'dst', out_a, 'type', 'PRODUCED_BY')))",
         )
 
-    def edges(self, large: bool = True) -> DataFrame:
-        return self.edge_log(large).select("src", "dst", "type").distinct()
+    def edges(self) -> DataFrame:
+        return self.edge_log().select("src", "dst", "type").distinct()
 
-    def nodes(self, large: bool = True) -> DataFrame:
-        return node_table(self.edges(large))
+    def nodes(self) -> DataFrame:
+        return node_table(self.edges())
 
     @cached_property
     def graph(self) -> tuple[DataFrame, DataFrame]:
@@ -137,9 +146,9 @@ class Tables:
         edges = cut_lineage(self.edges())
         return edges, cut_lineage(node_table(edges))
 
-    def triples(self, large: bool = True) -> DataFrame:
+    def triples(self) -> DataFrame:
         """Distinct (input, job, output) hops."""
-        return self.runs(large).selectExpr(
+        return self.runs().selectExpr(
             "explode(array(in_a, in_b)) AS input", "job_name", "job_no", "layer", "out_a AS output"
         ).distinct()
 
@@ -154,9 +163,9 @@ class Tables:
         return items.unionByName(orders).unionByName(customers).unionByName(nations)
 
     # columns ----------------------------------------------------------------
-    def column_edges(self, large: bool = True) -> DataFrame:
+    def column_edges(self) -> DataFrame:
         return (
-            self.triples(large)
+            self.triples()
             .selectExpr("*", "explode(sequence(0, 4)) AS i")
             .selectExpr(
                 "input AS src_ds",
@@ -173,10 +182,10 @@ class Tables:
             )
         )
 
-    def dataset_columns(self, large: bool = True) -> DataFrame:
+    def dataset_columns(self) -> DataFrame:
         names = sql_array(SCHEMA_NAMES)
         return (
-            self.nodes(large).filter("type = 'dataset'")
+            self.nodes().filter("type = 'dataset'")
             .selectExpr("id AS dataset", "CAST(split_part(id, '_', 2) AS BIGINT) AS layer",
                         "CAST(split_part(id, '_', 3) AS BIGINT) AS ds_no", "explode(sequence(0, 5)) AS ordinal")
             .selectExpr("dataset", f"element_at({names}, CAST((layer * 24 + ds_no + 5 * ordinal) % 16 AS INT) + 1) AS column_name",
@@ -184,14 +193,14 @@ class Tables:
         )
 
     # measurements -------------------------------------------------------------
-    def quality_checks(self, large: bool = True) -> DataFrame:
-        return self.runs(large).selectExpr(
+    def quality_checks(self) -> DataFrame:
+        return self.runs().selectExpr(
             "event_id", "out_a AS dataset", "'chk_' || (event_id % 3) AS check_name",
             "event_type <> 'error' AS passed", "value", "CAST(50.0 AS DOUBLE) AS threshold", "ts AS checked_at",
         )
 
-    def metric_history(self, large: bool = True) -> DataFrame:
-        return self.runs(large).selectExpr(
+    def metric_history(self) -> DataFrame:
+        return self.runs().selectExpr(
             "event_id", "'p_' || layer AS pipeline", "job_name AS stage", "ts AS recorded_at",
             "stack(3, 'row_count', value, 'duration_sec', CAST(k * 3 AS DOUBLE), 'completed', "
             "CAST(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END AS DOUBLE)) AS (metric, metric_value)",
@@ -206,9 +215,9 @@ class Tables:
             "src", "dst", "valid_from", "valid_to"
         )
 
-    def access_log(self, large: bool = True) -> DataFrame:
+    def access_log(self) -> DataFrame:
         cols = sql_array(COLUMN_NAMES)
-        return self.runs(large).selectExpr(
+        return self.runs().selectExpr(
             "event_id", "'u_' || user_id AS user_name", "in_a AS dataset",
             f"array(element_at({cols}, CAST(event_id % 5 AS INT) + 1), element_at({cols}, CAST((event_id + 2) % 5 AS INT) + 1)) AS columns",
             "CASE event_type WHEN 'view' THEN 'SELECT' WHEN 'signup' THEN 'INSERT' WHEN 'click' THEN 'UPDATE' "
@@ -216,9 +225,9 @@ class Tables:
             "md5(CAST(event_id AS STRING)) AS query_hash", "ts AS accessed_at",
         )
 
-    def query_log(self, large: bool = True) -> DataFrame:
+    def query_log(self) -> DataFrame:
         """One statement per hop in six shapes, with call counts and total time."""
-        hops = self.runs(large).groupBy("job_no", "job_name", "in_a", "in_b", "out_a").agg(
+        hops = self.runs().groupBy("job_no", "job_name", "in_a", "in_b", "out_a").agg(
             F.count("*").alias("calls"), F.round(F.sum("value"), 2).alias("total_exec_time"), F.max("ts").alias("start_time"))
         return hops.selectExpr(
             "job_name", "job_no", "in_a", "in_b", "out_a", "calls", "total_exec_time", "start_time",
@@ -231,6 +240,15 @@ class Tables:
             "ELSE 'create view ' || out_a || ' as select * from ' || in_a || '; delete from ' || in_b END AS statement",
         )
 
+    def script_log(self) -> DataFrame:
+        """One script per hop in twelve shapes that name the same tables in other ways."""
+        shapes = F.array(*[F.lit(x) for x in SCRIPT_SHAPES])
+        hops = self.runs().select("job_name", "job_no", "in_a", "in_b", "out_a").distinct()
+        text = F.element_at(shapes, (F.col("job_no") % len(SCRIPT_SHAPES)).cast("int") + 1)
+        for mark, column in (("{o}", "out_a"), ("{a}", "in_a"), ("{b}", "in_b")):
+            text = F.replace(text, F.lit(mark), F.col(column))
+        return hops.withColumn("statement", text)
+
     # products, features, models -------------------------------------------------
     def products(self) -> DataFrame:
         return self.runs().selectExpr(
@@ -257,15 +275,15 @@ class Tables:
         )
 
     def model_features(self) -> DataFrame:
-        """Which features a model consumes, one row each; hot models stay many rows."""
-        return self.read("lineitem").selectExpr(
+        """Which features a model consumes, one row each; hot models stay many rows. No model takes an eleventh of the features."""
+        return self.read("lineitem").filter("l_partkey % 11 <> 0").selectExpr(
             "'model_' || l_suppkey AS model", "'feature_' || l_partkey AS feature").distinct()
 
     # text ---------------------------------------------------------------------------
     def chunks(self) -> DataFrame:
         from weftline.operators.rag import chunk_documents
 
-        return chunk_documents(self.wide("documents"), size=200)
+        return chunk_documents(self.read("documents"), size=200)
 
     @cached_property
     def n_docs(self) -> int:

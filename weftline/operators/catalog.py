@@ -9,12 +9,14 @@ QUALIFIED_NAME = r"^([^:]+)://([^.]+)\.([^/.]+)/(.+)$"
 
 
 def page(nodes: DataFrame, namespace: str | None = None, limit: int = 20, offset: int = 0) -> DataFrame:
-    """A page in id order; ``limit`` is held between 1 and 100."""
+    """``limit`` rows in id order after the first ``offset``."""
+    if limit < 1 or offset < 0:
+        raise ValueError("limit must be positive and offset not negative")
     kept = nodes if namespace is None else nodes.filter(F.col("namespace") == namespace)
-    return kept.orderBy("id").offset(offset).limit(max(1, min(limit, 100)))
+    return kept.orderBy("id").offset(offset).limit(limit)
 
 
-def lookup(nodes: DataFrame, node_id: str) -> DataFrame:
+def lookup(nodes: DataFrame, node_id: str | Column) -> DataFrame:
     return nodes.filter(F.col("id") == node_id)
 
 

@@ -17,13 +17,14 @@ def degrees(edges: DataFrame) -> DataFrame:
         F.sum("incoming").alias("in_degree"), F.sum("outgoing").alias("out_degree"), F.count("*").alias("total"))
 
 
-def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter: int = 100, steps_per_cut: int = 4) -> DataFrame:
+def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, steps_per_cut: int = 4) -> DataFrame:
     """(id, rank): uniform teleport, the rank of dangling nodes spread evenly, sum 1.
 
     With both spread evenly, the stationary rank is the sum of the uniform start after
     0, 1, 2, ... damped steps along the edges, scaled to sum 1. A step is one join and one sum,
     no scalar has to travel between steps, and on an acyclic graph the steps run out by themselves.
-    Ends when the steps still to come hold less than ``tol`` of the rank.
+    Ends when the steps still to come hold less than ``tol`` of the rank, which takes at most
+    log(tol * (1 - alpha)) / log(alpha) steps.
     """
     pairs = flow(edges, "downstream")
     fan_out = pairs.groupBy("src").agg((F.lit(alpha) / F.count("*")).alias("share"))
@@ -32,9 +33,9 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
     start = 1.0 / max(ids.count(), 1)
     mass = ids.withColumn("mass", F.lit(start))
     parts, done = mass, 0
-    while done < max_iter:
+    while True:
         found = None
-        for _ in range(min(steps_per_cut, max_iter - done)):
+        for _ in range(steps_per_cut):
             done += 1
             mass = links.join(mass.withColumnRenamed("id", "src"), "src").groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("share") * F.col("mass")).alias("mass"))
             at = mass.withColumn("step", F.lit(done))
@@ -125,17 +126,23 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def communities(edges: DataFrame, rounds: int = 6) -> DataFrame:
+def communities(edges: DataFrame) -> DataFrame:
     """(id, community) by label propagation: each node takes the commonest label among its
-    neighbours and itself; ties go to the smallest label. Counts are summed before the pick."""
+    neighbours and itself; ties go to the smallest label. Counts are summed before the pick.
+
+    Rounds go on until no label moves. Labels that all nodes choose at once can also come to swing
+    between two states; then each node keeps the smaller of its two labels.
+    """
     links = cut_lineage(
         flow(edges, "downstream").unionByName(flow(edges, "upstream"))
         .unionByName(edges.selectExpr("explode(array(src, dst)) AS src").selectExpr("src", "src AS dst")).distinct())
-    labels = links.select(F.col("src").alias("id"), F.col("src").alias("community")).distinct()
-    for done in range(1, rounds + 1):
+    labels = links.select(F.col("src").alias("id"), F.col("src").alias("community"), F.col("src").alias("before")).distinct()
+    while True:
         votes = links.join(labels.withColumnRenamed("id", "dst"), "dst").groupBy("src", "community").count()
-        labels = votes.groupBy(F.col("src").alias("id")).agg(
-            F.min(F.struct((-F.col("count")).alias("votes"), "community"))["community"].alias("community"))
-        if done % 2 == 0:
-            labels = cut_lineage(labels)
-    return labels
+        chosen = votes.groupBy(F.col("src").alias("id")).agg(
+            F.min(F.struct((-F.col("count")).alias("votes"), "community"))["community"].alias("chosen"))
+        labels = cut_lineage(labels.join(chosen, "id").select("id", F.col("chosen").alias("community"), F.col("community").alias("before"), F.col("before").alias("earlier")))
+        moves = labels.agg(F.count_if(F.col("community") != F.col("before")).alias("moved"), F.count_if(F.col("community") != F.col("earlier")).alias("swung")).first()
+        if moves.moved == 0 or moves.swung == 0:
+            return labels.select("id", F.least("community", "before").alias("community"))
+        labels = labels.drop("earlier")

@@ -45,9 +45,13 @@ def content_hash(column: str) -> Column:
 
 
 def retrieved_chunks(events: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(event_id, rank_in, doc_id, source, chunk_id, chunk_index): chunks behind each event, unknown ids ignored."""
-    asked = events.select("event_id", F.posexplode("chunk_ids").alias("rank_in", "chunk_id"))
-    return asked.join(chunks.select("chunk_id", "doc_id", "source", "chunk_index"), "chunk_id")
+    """(event_id, rank_in, doc_id, source, chunk_id, chunk_index): chunks behind each event, unknown ids ignored.
+
+    Events name chunks by document and number; the short chunk id is for display, as it isn't unique in a large corpus.
+    """
+    asked = events.select("event_id", F.posexplode("chunk_refs").alias("rank_in", "ref")).select("event_id", "rank_in", "ref.doc_id", "ref.chunk_index")
+    return asked.join(chunks.select("chunk_id", "doc_id", "source", "chunk_index"), ["doc_id", "chunk_index"]).select(
+        "event_id", "rank_in", "doc_id", "source", "chunk_id", "chunk_index")
 
 
 def response_sources(retrieved: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def bounded_reach(edges: DataFrame, roots: DataFrame, max_depth: int, max_nodes:
     return found.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= max_nodes)
 
 
-def lineage_subgraph(edges: DataFrame, roots: DataFrame, max_depth: int, direction: str = "both") -> DataFrame:
+def lineage_subgraph(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, direction: str = "both") -> DataFrame:
     """(root, src, dst) edges with both ends among the root and its reached nodes."""
     ways = ["downstream", "upstream"] if direction == "both" else [direction]
     inside = None
@@ -126,10 +126,10 @@ def impact_counts(reached: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def impact_radius(reached: DataFrame, cap: int = 1000) -> DataFrame:
-    """Direct, two-hop, five-hop and total counts; the bounded counts stop at ``cap``."""
+def impact_radius(reached: DataFrame) -> DataFrame:
+    """Direct, two-hop, five-hop and total counts."""
     def within(k: int) -> Column:
-        return F.least(F.count_if(F.col("depth") <= k), F.lit(cap).cast("long"))
+        return F.count_if(F.col("depth") <= k)
 
     return reached.groupBy("root").agg(
         F.count_if(F.col("depth") == 1).alias("direct"),

@@ -46,7 +46,7 @@ _FQN = "'acme://d' || {l} || '.prod/' || {c}"
 _LOCAL = f"SELECT DISTINCT layer, {_FQN.format(l='layer', c='in_a')} AS src, {_FQN.format(l='layer', c='job_name')} AS dst, false AS cross_domain FROM ol UNION SELECT layer, {_FQN.format(l='layer', c='in_b')}, {_FQN.format(l='layer', c='job_name')}, false FROM ol"
 _CROSS = f"SELECT DISTINCT layer, {_FQN.format(l='layer', c='job_name')} AS src, {_FQN.format(l='(layer + 1)', c='out_a')} AS dst, true AS cross_domain FROM ol"
 _FE = "SELECT src, dst, cross_domain FROM (SELECT * FROM flocal UNION ALL SELECT * FROM fcross) WHERE layer <> 3"
-_FW = "SELECT src AS root, dst AS node, 1 AS depth FROM fedges WHERE src NOT IN (SELECT dst FROM fedges) UNION SELECT w.root, e.dst, w.depth + 1 FROM fwalk w JOIN fedges e ON e.src = w.node WHERE w.depth < 10"
+_FW = "SELECT src AS root, dst AS node, 1 AS depth FROM fedges WHERE src NOT IN (SELECT dst FROM fedges) UNION SELECT w.root, e.dst, w.depth + 1 FROM fwalk w JOIN fedges e ON e.src = w.node"
 _FED = {"flocal": _LOCAL, "fcross": _CROSS, "fedges": _FE, "fwalk": _FW}
 
 
@@ -65,19 +65,19 @@ def federated(t):
 @query("f03_federated_graph", "SELECT root, node, min(depth) AS depth FROM fwalk GROUP BY ALL", **_FED)
 def f03(t):
     edges, roots = federated(t)
-    return traversal.reach(edges, roots, max_depth=10)
+    return traversal.reach(edges, roots)
 
 
 @query("f04_affected_domains", "SELECT root, regexp_extract(node, '^[^:]+://([^.]+)', 1) AS domain, count(DISTINCT node) AS n_nodes FROM fwalk GROUP BY ALL", **_FED)
 def f04(t):
     edges, roots = federated(t)
-    return fed.affected_domains(traversal.reach(edges, roots, max_depth=10), F.regexp_extract("node", r"^([^:]+)://([^.]+)\.([^/.]+)/(.+)$", 2))
+    return fed.affected_domains(traversal.reach(edges, roots), F.regexp_extract("node", r"^([^:]+)://([^.]+)\.([^/.]+)/(.+)$", 2))
 
 
 @query("f04_cross_domain_edges", "SELECT DISTINCT w.root, e.src, e.dst FROM (SELECT root, node FROM fwalk UNION SELECT root, root FROM fwalk) w JOIN fedges e ON e.src = w.node WHERE cross_domain", **_FED)
 def f04_edges(t):
     edges, roots = federated(t)
-    return fed.leaving_edges(traversal.reach(edges, roots, max_depth=10), roots, edges)
+    return fed.leaving_edges(traversal.reach(edges, roots), roots, edges)
 
 
 

@@ -52,8 +52,8 @@ def p06(t):
 
 @query("p07_point_lookup", "SELECT id, type, namespace FROM nodes WHERE id = (SELECT min(id) FROM nodes)")
 def p07(t):
-    nodes = t.graph[1]
-    return catalog.lookup(nodes, nodes.agg(F.min("id")).first()[0])
+    nodes = t.nodes()
+    return catalog.lookup(nodes, nodes.agg(F.min("id")).scalar())
 
 
 @query("p08_search", "SELECT id, type, namespace FROM nodes WHERE contains(lower(id), 's_1_') OR contains(lower(namespace), 's_1_')")
@@ -123,6 +123,13 @@ def p16(t):
     return statements.script_tables(t.query_log().select("job_name", "out_a", "statement")).drop("statement").distinct()
 
 
+@query("p16_script_shapes", """SELECT DISTINCT job_name, out_a, role, table_name FROM (SELECT job_name, out_a, 'target' AS role, out_a AS table_name FROM ol
+    UNION ALL SELECT job_name, out_a, 'source', in_a FROM ol UNION ALL SELECT job_name, out_a, 'source', in_b FROM ol WHERE job_no % 12 IN (2, 4, 6, 7)
+    UNION ALL SELECT job_name, out_a, 'target', in_b FROM ol WHERE job_no % 12 = 11)""")
+def p16_shapes(t):
+    return statements.script_tables(t.script_log().select("job_name", "out_a", "statement")).drop("statement").distinct()
+
+
 @query("p17_plan_sources", """SELECT DISTINCT job_name, 'file' AS kind, 's3://lake/' || in_a AS source, 'id,amount' AS columns FROM ol UNION SELECT job_name, 'jdbc', in_b, '' FROM ol""")
 def p17(t):
     plans = t.runs().selectExpr(

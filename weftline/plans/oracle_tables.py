@@ -31,12 +31,13 @@ CTES: dict[str, str] = {
     "docs": f"""SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS et, CASE WHEN k = 1 THEN 'default' ELSE job_ns END AS jns,
         CASE WHEN k = 2 THEN 'unknown' ELSE job_name END AS jname, {_ARR}[event_id % 5 + 1] AS c1, {_ARR}[(event_id + 2) % 5 + 1] AS c2
       FROM ol WHERE k IS NULL OR k <> 3""",
-    "mentions": """SELECT jns || '/' || jname AS id, 'job' AS type, jns AS namespace, jname AS name, state, et, NULL AS n_fields FROM docs
-      UNION ALL SELECT in_ns || '/' || in_a, 'dataset', in_ns, in_a, state, et, NULL FROM docs
-      UNION ALL SELECT in_ns || '/' || in_b, 'dataset', in_ns, in_b, state, et, NULL FROM docs
-      UNION ALL SELECT out_ns || '/' || out_a, 'dataset', out_ns, out_a, state, et, 2 FROM docs""",
-    "upserted": """SELECT id, type, namespace, name, arg_max(state, et) AS last_state, min(et) AS created_at, max(et) AS updated_at,
-        count(*) AS n_events, max(n_fields) AS known_fields FROM mentions GROUP BY ALL""",
+    "mentions": """SELECT jns || '/' || jname AS id, 'job' AS type, jns AS namespace, jname AS name, state, et, NULL AS n_fields, run_id FROM docs
+      UNION ALL SELECT in_ns || '/' || in_a, 'dataset', in_ns, in_a, state, et, NULL, run_id FROM docs
+      UNION ALL SELECT in_ns || '/' || in_b, 'dataset', in_ns, in_b, state, et, NULL, run_id FROM docs
+      UNION ALL SELECT out_ns || '/' || out_a, 'dataset', out_ns, out_a, state, et, 2, run_id FROM docs""",
+    "upserted": """SELECT id, arg_max(type, (et, run_id, state, type)) AS type, arg_max(namespace, (et, run_id, state, type)) AS namespace, arg_max(name, (et, run_id, state, type)) AS name,
+        arg_max(state, (et, run_id, state, type)) AS last_state, min(et) AS created_at, max(et) AS updated_at,
+        count(*) AS n_events, max(n_fields) AS known_fields FROM mentions GROUP BY id""",
     "edges": "SELECT DISTINCT src, dst, type FROM elog",
     "nodes": """SELECT id, CASE WHEN id LIKE 'job_%' THEN 'job' ELSE 'dataset' END AS type,
         (CASE WHEN id LIKE 'job_%' THEN 'ns_' ELSE 'wh_' END) || split_part(id, '_', 2) AS namespace
@@ -88,7 +89,7 @@ CTES: dict[str, str] = {
     "models": """SELECT 'model_' || s_suppkey AS model, CAST(1 + s_suppkey % 3 AS VARCHAR) AS version, s_suppkey AS model_no,
         'ds_1_' || (s_suppkey % (24 * s)) AS training_dataset, 'pred_' || s_suppkey AS predictions,
         s_nationkey AS nation, s_acctbal AS score FROM supplier, sc""",
-    "model_features": "SELECT DISTINCT 'model_' || l_suppkey AS model, 'feature_' || l_partkey AS feature FROM lineitem",
+    "model_features": "SELECT DISTINCT 'model_' || l_suppkey AS model, 'feature_' || l_partkey AS feature FROM lineitem WHERE l_partkey % 11 <> 0",
     "chunks": """SELECT doc_id, source, left(md5(doc_id || ':' || (idx * 200)), 12) AS chunk_id, idx AS chunk_index,
         array_to_string(words[idx * 200 + 1 : idx * 200 + 200], ' ') AS chunk_text,
         len(words[idx * 200 + 1 : idx * 200 + 200]) AS n_words

@@ -228,8 +228,9 @@ def q09(t):
 @query("q10_assertions_facet", "SELECT out_ns || '/' || out_a AS dataset, count(*) AS n_assertions, round(avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END), 6) AS pass_rate FROM docs GROUP BY 1")
 def q10(t):
     from weftline.plans.source_queries import parsed_events
+    from weftline.sources.run_events import entity_id
 
-    outputs = parsed_events(t).selectExpr("inline(outputs)").selectExpr("namespace || '/' || name AS dataset", "inline(facets.dataQualityAssertions.assertions)")
+    outputs = parsed_events(t).selectExpr("inline(outputs)").selectExpr(f"{entity_id('namespace', 'name')} AS dataset", "inline(facets.dataQualityAssertions.assertions)")
     return outputs.groupBy("dataset").agg(F.count("*").alias("n_assertions"), F.round(F.avg(F.col("success").cast("double")), 6).alias("pass_rate"))
 
 

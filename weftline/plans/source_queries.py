@@ -331,5 +331,5 @@ def s30(t):
     row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events WHERE event_id // 100 <= (SELECT max(event_id) // 200 FROM events)) WHERE rn = 1 AND NOT deleted""")
 def s31(t):
     versions = t.change_stream().selectExpr("key", "event_id div 100 AS version", "event_id", "operation = 'DELETE' AS deleted", "value")
-    half = t.read("events").agg(F.expr("max(event_id) div 200 AS half")).first()["half"]
-    return inspect.table_history(versions, half, ["key"]).select("key", "version", "value", "event_id")
+    half = t.read("events").agg(F.expr("max(event_id) div 200 AS half"))
+    return inspect.table_history(versions, half.scalar(), ["key"], "event_id").select("key", "version", "value", "event_id")

@@ -86,10 +86,10 @@ def a02(t):
 
 
 @query("a03_dim_customers", """SELECT c_custkey, lower(trim(c_name)) AS name, count(DISTINCT o_orderkey) AS n_orders, round(sum(o_totalprice), 2) AS total, max(o_orderdate) AS last_order
-    FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_name IS NOT NULL GROUP BY ALL""")
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey WHERE c_name IS NOT NULL GROUP BY ALL""")
 def a03(t):
     staged = t.read("customer").filter("c_name IS NOT NULL").select("c_custkey", F.lower(F.trim("c_name")).alias("name"))
-    left = staged.join(t.read("orders"), F.col("c_custkey") == F.col("o_custkey"), "left").filter("o_orderkey IS NOT NULL")
+    left = staged.join(t.read("orders"), F.col("c_custkey") == F.col("o_custkey"), "left")
     return left.groupBy("c_custkey", "name").agg(F.countDistinct("o_orderkey").alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.max("o_orderdate").alias("last_order"))
 
 

@@ -17,16 +17,16 @@ def m10(t):
 @query("m10_chunking_overlap", r"""SELECT doc_id, left(md5(doc_id || ':' || (idx * 150)), 12) AS chunk_id, idx AS chunk_index, md5(array_to_string(words[idx * 150 + 1 : idx * 150 + 200], ' ')) AS text_hash FROM (
     SELECT doc_id, words, unnest(range(0, (len(words) - 1) // 150 + 1)) AS idx FROM (SELECT doc_id, list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda x: x <> '') AS words FROM documents))""")
 def m10_overlap(t):
-    return rag.chunk_documents(t.wide("documents"), size=200, overlap=50).select("doc_id", "chunk_id", "chunk_index", F.md5("chunk_text").alias("text_hash"))
+    return rag.chunk_documents(t.read("documents"), size=200, overlap=50).select("doc_id", "chunk_id", "chunk_index", F.md5("chunk_text").alias("text_hash"))
 
 
 @query("m11_content_hash", "SELECT doc_id, left(sha256(text), 16) AS content_hash FROM documents")
 def m11(t):
-    return t.wide("documents").select("doc_id", rag.content_hash("text").alias("content_hash"))
+    return t.read("documents").select("doc_id", rag.content_hash("text").alias("content_hash"))
 
 
 def interactions(t):
-    return t.rag_events().select("*", F.transform("docs", lambda d: F.left(F.md5(F.concat(d.cast("string"), F.lit(":0"))), F.lit(12))).alias("chunk_ids"))
+    return t.rag_events().select("*", F.transform("docs", lambda d: F.struct(d.alias("doc_id"), F.lit(0).cast("long").alias("chunk_index"))).alias("chunk_refs"))
 
 
 def retrieved(t):
@@ -47,7 +47,7 @@ def a19(t):
 
 
 def hashed(t):
-    docs = t.wide("documents")
+    docs = t.read("documents")
     registered = docs.select("doc_id", rag.content_hash("text").alias("doc_hash"))
     changed = F.when(F.col("lang") == "en", "").when(F.col("n_chars") > 500, F.concat("text", F.lit(" edited"))).otherwise(F.col("text"))
     current = docs.select("doc_id", changed.alias("text")).select("doc_id", F.when(F.col("text") == "", "").otherwise(rag.content_hash("text")).alias("doc_hash"))
@@ -103,7 +103,7 @@ _STEPS = f"""SELECT conv_id AS chain_id, turn AS step, role AS step_name, {sql_a
 
 
 def chain_steps(t):
-    return t.wide("conversations").selectExpr(
+    return t.read("conversations").selectExpr(
         "conv_id AS chain_id", "turn AS step", "role AS step_name", f"element_at({sql_array(MODEL_NAMES)}, CAST(conv_id % 5 AS INT) + 1) AS model", "length(text) AS input_tokens",
         "turn * 10 AS output_tokens", "conv_id % 7 * 100 + turn AS latency_ms", "text AS input_text")
 
@@ -130,7 +130,7 @@ _CHUNK_ROWS = "SELECT event_id, chunk_id, source, chunk_index FROM got JOIN chun
 
 
 def labelled(t):
-    return interactions(t).selectExpr("event_id", "'query ' || event_id AS query_text", "model", "'response of run ' || run_no AS response_text", "chunk_ids")
+    return interactions(t).selectExpr("event_id", "'query ' || event_id AS query_text", "model", "'response of run ' || run_no AS response_text", "chunk_refs")
 
 
 @query("p23_interaction_nodes", """SELECT event_id, 'query' AS id, 'query' AS type, left(query_text, 50) AS label FROM labelled UNION ALL SELECT event_id, 'retrieval', 'process', 'Retrieve top-2' FROM labelled UNION ALL SELECT event_id, 'prompt', 'process', 'Assemble prompt' FROM labelled
@@ -151,7 +151,7 @@ def p23_edges(t):
       / greatest(len(list_distinct(list_filter(string_split_regex(lower(q), '[ \t\r\n]+'), lambda w: w <> ''))), 1) > 0.3) AS s
     FROM (SELECT a.conv_id, a.turn, a.text AS response, lower(b.text) AS ctx FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1 WHERE a.role = 'assistant'))""")
 def v16(t):
-    turns = t.wide("conversations")
+    turns = t.read("conversations")
     before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("context"))
     answers = turns.filter("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("response")).join(before, ["conv_id", "turn"])
     judged = rag.attribution(answers)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -48,11 +48,11 @@ def foreign_keys(constraints: DataFrame, usage: DataFrame, references: DataFrame
         "constraint_name", F.col("dataset").alias("src_dataset"), F.col("column_name").alias("src_column"), "target_dataset", "target_column")
 
 
-def table_history(versions: DataFrame, version: int, keys: list[str]) -> DataFrame:
+def table_history(versions: DataFrame, version: int | Column, keys: list[str], order: str) -> DataFrame:
     """A table as of a version: the last row per key written at or before it, unless deleted.
 
-    ``versions`` has a ``version``, a ``deleted`` flag and the key columns.
+    ``versions`` has a ``version``, a ``deleted`` flag and the key columns; ``order`` puts the rows of one version in order.
     """
     values = [c for c in versions.columns if c not in keys]
-    latest = versions.filter(F.col("version") <= version).groupBy(*keys).agg(F.max(F.struct("version", *[c for c in values if c != "version"])).alias("row"))
+    latest = versions.filter(F.col("version") <= version).groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct("version", order)).alias("row"))
     return latest.select(*keys, "row.*").filter("NOT deleted").drop("deleted")

@@ -57,10 +57,16 @@ def event_entities(events: DataFrame) -> DataFrame:
 
 
 def event_nodes(events: DataFrame) -> DataFrame:
-    """Upserted nodes: attributes of the latest event win, first and last sighting are kept."""
-    return event_entities(events).groupBy("id", "type", "namespace", "name").agg(
-        F.max_by("state", "event_time").alias("last_state"),
-        F.max_by("n_fields", "event_time").alias("n_fields"),
+    """One node for each id: the latest event wins, first and last sighting are kept.
+
+    Events of one time are put in the order of their run, state, type and number of fields, so that the winner
+    doesn't depend on the order of rows. Namespace and name follow from the id that they make up.
+    """
+    last = F.struct("event_time", "run_id", "state", "type", "n_fields")
+    return event_entities(events).groupBy("id").agg(
+        F.max_by("type", last).alias("type"), F.max_by("namespace", last).alias("namespace"), F.max_by("name", last).alias("name"),
+        F.max_by("state", last).alias("last_state"),
+        F.max_by("n_fields", last).alias("n_fields"),
         F.max(F.when(F.col("n_fields").isNotNull(), F.struct("event_time", "n_fields")))["n_fields"].alias("known_fields"),
         F.min("event_time").alias("created_at"), F.max("event_time").alias("updated_at"), F.count("*").alias("n_events"))
 
@@ -90,7 +96,7 @@ def relationships(events: DataFrame) -> DataFrame:
 
 def latest_run_states(events: DataFrame) -> DataFrame:
     return events.groupBy(F.col("run.runId").alias("run_id")).agg(
-        F.max_by("eventType", "eventTime").alias("state"), F.max("eventTime").alias("event_time"))
+        F.max_by("eventType", F.struct("eventTime", "eventType")).alias("state"), F.max("eventTime").alias("event_time"))
 
 
 def schema_columns(events: DataFrame) -> DataFrame:
@@ -101,12 +107,13 @@ def schema_columns(events: DataFrame) -> DataFrame:
 
 
 def facet_column_edges(events: DataFrame) -> DataFrame:
-    """Column edges of columnLineage facets; an undescribed transformation reads as IDENTITY."""
+    """Column edges of columnLineage facets, one for each transformation; an undescribed one reads as IDENTITY."""
     fields = events.selectExpr("inline(outputs)").selectExpr(
-        "namespace || '/' || name AS dst_ds", "explode(facets.columnLineage.fields) AS (dst_col, lineage)")
+        f"{entity_id('namespace', 'name')} AS dst_ds", "explode(facets.columnLineage.fields) AS (dst_col, lineage)")
     return fields.selectExpr("dst_ds", "dst_col", "inline(lineage.inputFields)").selectExpr(
-        "namespace || '/' || name AS src_ds", "field AS src_col", "dst_ds", "dst_col",
-        "coalesce(transformations[0].description, 'IDENTITY') AS transformation").distinct()
+        f"{entity_id('namespace', 'name')} AS src_ds", "field AS src_col", "dst_ds", "dst_col",
+        "explode_outer(transformations.description) AS step").selectExpr(
+        "src_ds", "src_col", "dst_ds", "dst_col", "coalesce(step, 'IDENTITY') AS transformation").distinct()
 
 
 def run_states(events: DataFrame) -> DataFrame:

@@ -29,20 +29,37 @@ def statement_tables(log: DataFrame) -> DataFrame:
     return named.selectExpr(*log.columns, f"inline({rows})")
 
 
+# Patterns over one statement in lower case, without comments, literals and identifier quotes.
+_NOISE = r"'(?:[^']|'')*'|--[^\n]*|/\*[\s\S]*?\*/"
+_NAME = r"([\w.]++)"
+_TARGETS = [
+    rf"insert\s+(?:into|overwrite)\s+(?:table\s+)?{_NAME}",
+    rf"create\s+(?:or\s+replace\s+)?(?:(?:global|local|temp|temporary|external|transient|materialized)\s+)*(?:table|view)\s+(?:if\s+not\s+exists\s+)?{_NAME}",
+    rf"merge\s+into\s+{_NAME}", rf"delete\s+from\s+{_NAME}", rf"update\s+{_NAME}\s+set\b"]
+_LOCALS = rf"{_NAME}\s*(?:\([^()]*\))?\s+as\s+(?:not\s+)?(?:materialized\s+)?\("
+# Words before "from" that isn't followed by a table.
+_NOT_READS = r"\b(?:extract|trim|substring|overlay|position)\s*\([^()]*\)|\bis\s+(?:not\s+)?distinct\s+from\b|\bdelete\s+from\b"
+_READS = r"\b(?:from|join|using)\s+((?:[\w.]+(?:\s+(?:as\s+)?\w+)?\s*,\s*)*[\w.]++)(?!\s*\()"
+_NOT_TABLES = ["select", "lateral", "unnest", "values", "table", "only", "where"]
+
+
 def script_tables(log: DataFrame) -> DataFrame:
     """Distinct (key columns, role, table_name), reading through common table expressions.
 
-    Scripts are cut at semicolons. Views, inserts, created tables and deletes are targets;
-    every other table named in the script and not defined by it is a source.
+    Comments, quoted text and identifier quotes go first, then scripts are cut at semicolons. Tables and views that
+    are created, replaced, inserted into, overwritten, merged into, updated or deleted from are targets; every other
+    table after FROM, JOIN or USING, in comma lists too, that the statement doesn't define is a source.
     """
-    pieces = log.selectExpr("*", "explode(split(lower(statement), ';')) AS piece")
-    named = pieces.selectExpr(
-        "*",
-        r"regexp_extract_all(piece, '(?:insert\\s+into|create\\s+table|create\\s+view|delete\\s+from)\\s+([\\w.]+)', 1) AS targets",
-        r"regexp_extract_all(piece, '([\\w.]+)\\s+as\\s*\\(', 1) AS locals",
-        r"regexp_extract_all(regexp_replace(piece, 'delete\\s+from', 'delete'), '(?:from|join)\\s+([\\w.]+)', 1) AS reads")
-    rows = "concat(transform(targets, t -> named_struct('role', 'target', 'table_name', t)), transform(array_except(reads, locals), s -> named_struct('role', 'source', 'table_name', s)))"
-    return named.selectExpr(*log.columns, f"inline({rows})").distinct()
+    bare = F.regexp_replace(F.regexp_replace(F.lower("statement"), _NOISE, " "), '["`]', "")
+    piece = F.explode(F.split(bare, ";")).alias("piece")
+    targets = F.flatten(F.array(*[F.regexp_extract_all("piece", F.lit(p), F.lit(1)) for p in _TARGETS]))
+    lists = F.regexp_extract_all(F.regexp_replace("piece", _NOT_READS, " "), F.lit(_READS), F.lit(1))
+    reads = F.flatten(F.transform(lists, lambda x: F.transform(F.split(x, r"\s*,\s*"), lambda y: F.regexp_extract(y, r"^([\w.]+)", 1))))
+    known = F.array_union(F.regexp_extract_all("piece", F.lit(_LOCALS), F.lit(1)), F.array(*[F.lit(w) for w in _NOT_TABLES]))
+    row = lambda role: lambda name: F.struct(F.lit(role).alias("role"), name.alias("table_name"))
+    named = log.select("*", piece).select(*log.columns, F.inline(F.concat(
+        F.transform(targets, row("target")), F.transform(F.array_except(reads, known), row("source")))))
+    return named.distinct()
 
 
 def plan_sources(plans: DataFrame, column: str = "plan_text") -> DataFrame:
