@@ -185,3 +185,14 @@ def test_the_last_write_wins_by_id_and_ties_are_ordered(spark, tmp_path):
         (tmp_path / f"{k}.json").write_text("\n".join(order))
         node, = run_events.event_nodes(run_events.well_formed(run_events.read_run_events(spark, str(tmp_path / f"{k}.json")))).collect()
         assert (node["id"], node["type"], node["last_state"], node["n_events"]) == ("n/x", "job", "START", 6)
+
+
+def test_the_batch_log_outlives_what_spark_remembers(spark, event_files, tmp_path):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        _, query = drain(spark, sources.file_stream(spark, event_files, files_per_batch=1).select("event_id"), tmp_path)
+        log = sinks.batch_log(query)
+        assert len(query.recentProgress) == 1
+        assert sorted((r["batch_id"], r["n_rows"]) for r in log.collect()) == [(i, 250) for i in range(4)]
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")

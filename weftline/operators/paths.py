@@ -12,16 +12,14 @@ from weftline.session import cut_lineage
 def simple_paths(edges: DataFrame, pairs: DataFrame, hops_per_round: int = HOPS_PER_ROUND) -> DataFrame:
     """(root, target, path) for every simple path of each (root, target) pair.
 
-    Walks only enter nodes that lie between the two ends, so no dead branch is expanded
-    and no path has to be dropped.
+    Walks start at the root and only enter nodes from which the target can be reached, so no dead branch is
+    expanded and no path has to be dropped. What is stored for that is (target, node), not (root, target, node).
     """
     steps = stored_flow(edges, "downstream")
     pairs = pairs.select("root", "target").distinct()
-    ahead = reach(steps, roots_of(pairs, "root"), "downstream", include_root=True).select("root", "node")
-    behind = reach(steps, roots_of(pairs, "target"), "upstream", include_root=True).select(F.col("root").alias("target"), "node")
-    between = cut_lineage(pairs.join(ahead, "root").join(behind, ["target", "node"]).select("root", "target", "node"))
-    allowed = between.withColumnRenamed("node", "dst")
-    live = pairs.join(between.filter("root = node"), ["root", "target"], "left_semi").select(
+    behind = cut_lineage(reach(steps, roots_of(pairs, "target"), "upstream", include_root=True).select(F.col("root").alias("target"), "node"))
+    allowed = behind.withColumnRenamed("node", "dst")
+    live = pairs.join(behind.withColumnRenamed("node", "root"), ["root", "target"], "left_semi").select(
         "root", "target", F.array("root").alias("path"))
     arrived = F.element_at("path", -1) == F.col("target")
     finished = None
@@ -30,7 +28,7 @@ def simple_paths(edges: DataFrame, pairs: DataFrame, hops_per_round: int = HOPS_
         for hop in range(1, hops_per_round + 1):
             step = (
                 step.withColumn("src", F.element_at("path", -1)).join(steps, "src")
-                .join(allowed, ["root", "target", "dst"], "left_semi")
+                .join(allowed, ["target", "dst"], "left_semi")
                 .filter(~F.array_contains("path", F.col("dst")))
                 .select("root", "target", F.concat("path", F.array("dst")).alias("path"))
             )

@@ -85,26 +85,25 @@ def propagate_status(edges: DataFrame, status: DataFrame) -> DataFrame:
 def trust_scores(edges: DataFrame, reports: DataFrame, hops_per_round: int = HOPS_PER_ROUND) -> DataFrame:
     """(id, trust): 0.6 own result + 0.4 mean result of upstream nodes weighted 1/(depth+1).
 
-    Every path counts, so a node met on two paths weighs twice; the number of paths per
-    (node, ancestor, depth) is carried, not the paths. ``reports`` is (id, passed). Nodes of
-    the graph without a report score 0.5; the graph must be acyclic.
+    Every path counts, so a node met on two paths weighs twice. The sum over all paths of one length into a node is the
+    sum of its parents' sums over paths one shorter, so a round carries two numbers for each node and no ancestors.
+    ``reports`` is (id, passed). Nodes of the graph without a report score 0.5; the graph must be acyclic.
     """
     pairs = stored_flow(edges, "upstream")
     judged = cut_lineage(reports.select("id", F.when(F.col("passed"), 1.0).otherwise(0.0).alias("own")))
     limit = pairs.selectExpr("explode(array(src, dst)) AS id").distinct().count()
-    walk = judged.select("id", F.col("id").alias("node"), F.lit(1).cast("long").alias("n_paths"))
+    walk = judged.select(F.col("id").alias("node"), F.col("own").alias("good"), F.lit(1.0).alias("paths"))
     sums, depth = None, 0
     while True:
         found = None
         for _ in range(hops_per_round):
             depth += 1
-            walk = walk.join(pairs, walk["node"] == pairs["src"]).groupBy("id", F.col("dst").alias("node")).agg(F.sum("n_paths").alias("n_paths"))
+            walk = walk.join(pairs, walk["node"] == pairs["dst"]).groupBy(F.col("src").alias("node")).agg(F.sum("good").alias("good"), F.sum("paths").alias("paths"))
             at = walk.withColumn("depth", F.lit(depth))
             found = at if found is None else found.unionByName(at)
         found = cut_lineage(found)
-        upstream = judged.select(F.col("id").alias("node"), F.col("own").alias("score"))
-        weight = F.col("n_paths") / (F.col("depth") + 1)
-        part = found.join(upstream, "node").groupBy("id").agg(F.sum(weight * F.col("score")).alias("good"), F.sum(weight).alias("weight"))
+        weighted = found.select(F.col("node").alias("id"), (F.col("good") / (F.col("depth") + 1)).alias("good"), (F.col("paths") / (F.col("depth") + 1)).alias("weight"))
+        part = weighted.groupBy("id").agg(F.sum("good").alias("good"), F.sum("weight").alias("weight"))
         sums = part if sums is None else sums.unionByName(part)
         walk = found.filter(F.col("depth") == depth).drop("depth")
         if walk.isEmpty():

@@ -9,8 +9,9 @@ from weftline.operators import profiling, quality
 from weftline.plans.registry import query
 from weftline.session import cut_lineage
 
-def by_day():
-    return F.date_trunc("day", "recorded_at")
+def by_hour():
+    """Buckets of a metric's history: a few thousand rows even where one pipeline has most of a day's."""
+    return F.date_trunc("hour", "recorded_at")
 
 
 _SUITE_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -69,27 +70,27 @@ _Z = """SELECT event_id, pipeline, metric, metric_value, prior_n, CASE WHEN prio
 
 @query("w02_z_score_anomaly", _Z.format(z=3.0, flat="false"))
 def w02(t):
-    scored = quality.z_scores(t.metric_history(), ["pipeline", "metric"], "metric_value", ["recorded_at", "event_id"], by_day())
+    scored = quality.z_scores(t.metric_history(), ["pipeline", "metric"], "metric_value", ["recorded_at", "event_id"], by_hour())
     return scored.select("event_id", "pipeline", "metric", "metric_value", "prior_n", F.coalesce("is_anomaly", F.lit(False)).alias("is_anomaly"), F.round(F.coalesce("z", F.lit(-1.0)), 5).alias("z"))
 
 
 @query("w02_z_score_flat_history", "SELECT event_id, pipeline, metric, is_anomaly FROM (" + _Z.format(z=2.5, flat="metric_value <> mean") + ")")
 def w02_flat(t):
-    scored = quality.z_scores(t.metric_history(), ["pipeline", "metric"], "metric_value", ["recorded_at", "event_id"], by_day(), threshold=2.5, zero_spread_is_anomaly=True)
+    scored = quality.z_scores(t.metric_history(), ["pipeline", "metric"], "metric_value", ["recorded_at", "event_id"], by_hour(), threshold=2.5, zero_spread_is_anomaly=True)
     return scored.select("event_id", "pipeline", "metric", F.coalesce("is_anomaly", F.lit(False)).alias("is_anomaly"))
 
 
 @query("w03_anomaly_report", "SELECT pipeline, metric, metric_value, round(mean, 5) AS mean, round(sd, 5) AS stdev FROM (SELECT *, row_number() OVER (PARTITION BY pipeline, metric, strftime(recorded_at, '%Y-%m-%d') ORDER BY recorded_at DESC, event_id DESC) AS rn, "
        "count(*) OVER w AS prior_n, avg(metric_value) OVER w AS mean, stddev_samp(metric_value) OVER w AS sd FROM metric_history WINDOW w AS (PARTITION BY pipeline, metric ORDER BY recorded_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE rn = 1 AND prior_n >= 5 AND sd > 0 AND abs(metric_value - mean) / sd > 1.5")
 def w03(t):
-    scored = quality.z_scores(t.metric_history(), ["pipeline", "metric"], "metric_value", ["recorded_at", "event_id"], by_day(), threshold=1.5).withColumn("day", F.to_date("recorded_at"))
+    scored = quality.z_scores(t.metric_history(), ["pipeline", "metric"], "metric_value", ["recorded_at", "event_id"], by_hour(), threshold=1.5).withColumn("day", F.to_date("recorded_at"))
     latest = top_rows(scored, ["pipeline", "metric", "day"], [F.desc("recorded_at"), F.desc("event_id")], 1)
     return latest.filter("is_anomaly").select("pipeline", "metric", "metric_value", F.round("prior_mean", 5).alias("mean"), F.round("prior_stdev", 5).alias("stdev"))
 
 
 @query("w04_metric_history", "SELECT pipeline, metric, event_id, metric_value, row_number() OVER (PARTITION BY pipeline, metric ORDER BY recorded_at, event_id) AS position FROM metric_history")
 def w04(t):
-    return positions(t.metric_history(), ["pipeline", "metric"], ["recorded_at", "event_id"], by_day()).select("pipeline", "metric", "event_id", "metric_value", "position")
+    return positions(t.metric_history(), ["pipeline", "metric"], ["recorded_at", "event_id"], by_hour()).select("pipeline", "metric", "event_id", "metric_value", "position")
 
 
 @query("w05_run_states", """SELECT run_id, arg_max(state, ts) AS state, coalesce(strftime(min(ts) FILTER (state = 'START'), '%Y-%m-%d %H:%M:%S'), '') AS started_at,

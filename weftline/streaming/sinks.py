@@ -14,11 +14,21 @@ def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
 
 
 def start(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Write every micro-batch, optionally reshaped by ``transform``, and stop when the input is used up."""
+    """Write every micro-batch, optionally reshaped by ``transform``, and stop when the input is used up.
+
+    Each batch also logs the batches before it (see ``batch_log``), so a long run forgets none.
+    """
+    running: list[StreamingQuery] = []
+
     def each(batch: DataFrame, batch_id: int) -> None:
         write_batch(transform(batch) if transform else batch, batch_id, path)
+        for query in running:
+            log_batches(query)
 
-    return stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.log_path, query.log_session, query.logged = f"{path}-batches", stream.sparkSession, -1
+    running.append(query)
+    return query
 
 
 def append_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -50,15 +60,25 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def batch_log(query: StreamingQuery) -> DataFrame:
-    """One row per finished micro-batch: offsets, rows in, rows dropped as late.
+BATCH_LOG = "batch_id BIGINT, source STRING, start_offset STRING, end_offset STRING, n_rows BIGINT, late_rows BIGINT"
 
-    Covers the batches the query still remembers (spark.sql.streaming.numRecentProgressUpdates).
-    """
-    spark = query.sparkSession if hasattr(query, "sparkSession") else SparkSession.getActiveSession()
-    rows = []
+
+def log_batches(query: StreamingQuery) -> None:
+    """Write the finished batches that aren't logged yet, one folder each. Spark remembers a hundred of them."""
     for progress in query.recentProgress:
+        number = progress["batchId"]
+        if number <= query.logged:
+            continue
         late = sum(s["numRowsDroppedByWatermark"] for s in progress["stateOperators"])
-        for source in progress["sources"]:
-            rows.append((progress["batchId"], source["description"], str(source["startOffset"]), str(source["endOffset"]), int(source["numInputRows"]), int(late)))
-    return spark.createDataFrame(rows, "batch_id BIGINT, source STRING, start_offset STRING, end_offset STRING, n_rows BIGINT, late_rows BIGINT")
+        rows = [(number, s["description"], str(s["startOffset"]), str(s["endOffset"]), int(s["numInputRows"]), int(late)) for s in progress["sources"]]
+        query.log_session.createDataFrame(rows, BATCH_LOG).coalesce(1).write.mode("overwrite").parquet(f"{query.log_path}/batch={number}")
+        query.logged = number
+
+
+def batch_log(query: StreamingQuery) -> DataFrame:
+    """One row per finished micro-batch and source: offsets, rows in, rows dropped as late. ``query`` comes from ``start``."""
+    log_batches(query)
+    spark = query.log_session
+    if query.logged < 0:
+        return spark.createDataFrame([], BATCH_LOG)
+    return spark.read.schema(BATCH_LOG).option("basePath", query.log_path).parquet(f"{query.log_path}/batch=*").drop("batch")
