@@ -188,7 +188,7 @@ def test_the_last_write_wins_by_id_and_ties_are_ordered(spark, tmp_path):
 
 
 def test_the_batch_log_outlives_what_spark_remembers(spark, event_files, tmp_path):
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
     try:
         _, query = drain(spark, sources.file_stream(spark, event_files, files_per_batch=1).select("event_id"), tmp_path)
         log = sinks.batch_log(query)
