@@ -127,6 +127,18 @@ def erase_subjects(table: DataFrame, key: str, subjects: DataFrame) -> DataFrame
     return table.join(subjects.select(key), key, "left_anti")
 
 
+def erase_everywhere(tables: dict[str, tuple[DataFrame, str, str]], subjects: DataFrame) -> DataFrame:
+    """(dataset, row_id) of what is left in every affected dataset once the ``subjects`` (subject) are gone.
+
+    ``tables`` gives for each dataset its frame, the column that names the subject and the column that names the row.
+    """
+    gone, left = subjects.select("subject").distinct(), None
+    for name, (table, key, row) in tables.items():
+        kept = table.join(gone, table[key] == gone["subject"], "left_anti").select(F.lit(name).alias("dataset"), F.col(row).cast("long").alias("row_id"))
+        left = kept if left is None else left.unionByName(kept)
+    return left
+
+
 def mask_subjects(table: DataFrame, key: str, subjects: DataFrame, columns: list[str]) -> DataFrame:
     """The table with the personal columns of the subjects replaced by a hash."""
     marked = table.join(subjects.select(key, F.lit(True).alias("_subject")).distinct(), key, "left")
@@ -155,6 +167,19 @@ def propagate_tags(edges: DataFrame, findings: DataFrame) -> DataFrame:
     return reach(edges, own, include_root=True).select(F.col("node").alias("dataset"), F.col("root").alias("tag"), (F.col("depth") > 0).alias("inherited"))
 
 
+def apply_policies(tags: DataFrame, policies: DataFrame, owners: DataFrame) -> DataFrame:
+    """(dataset, tag, inherited, masking, retention_days, owner): the policy (tag, masking, retention_days) of every tag
+    of a dataset. Tags without a policy are to be reviewed and have 0 days; datasets without an owner (dataset, owner) have ''."""
+    return tags.join(policies, "tag", "left").join(owners, "dataset", "left").select(
+        "dataset", "tag", "inherited", F.coalesce("masking", F.lit("REVIEW")).alias("masking"), F.coalesce("retention_days", F.lit(0)).alias("retention_days"), F.coalesce("owner", F.lit("")).alias("owner"))
+
+
+def notifications(actions: DataFrame) -> DataFrame:
+    """(recipient, dataset, tag): who hears of a policy, the data owner and the governance team."""
+    told = F.explode(F.array(F.col("owner"), F.lit("governance"))).alias("recipient")
+    return actions.select(told, "dataset", "tag").filter("recipient <> ''").distinct()
+
+
 def scan_text(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, pii_type, n, action) of kinds with at least one match in the whole text."""
     kinds = ", ".join(f"'{k}', {k}" for k in TEXT_PATTERNS)

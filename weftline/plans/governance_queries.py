@@ -124,6 +124,15 @@ def v09_mask(t):
     return gov.mask_subjects(t.read("customer"), "c_custkey", subjects, ["c_name"]).select("c_custkey", "c_name")
 
 
+@query("v09_erasure_tables", """SELECT 'customer' AS dataset, c_custkey AS row_id FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error')
+    UNION ALL SELECT 'orders', o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error')
+    UNION ALL SELECT 'events', event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error')""")
+def v09_tables(t):
+    subjects = t.read("events").filter("event_type = 'error'").selectExpr("user_id AS subject")
+    return gov.erase_everywhere({
+        "customer": (t.read("customer"), "c_custkey", "c_custkey"), "orders": (t.read("orders"), "o_custkey", "o_orderkey"), "events": (t.read("events"), "user_id", "event_id")}, subjects)
+
+
 @query("v10_who_accessed", "SELECT dataset, user_name, access_type, query_hash FROM access_log WHERE accessed_at >= (SELECT max(ts) - INTERVAL 5 DAY FROM events)")
 def v10(t):
     since = t.read("events").agg(F.max("ts") - F.expr("INTERVAL 5 DAY"))
@@ -140,6 +149,30 @@ def v12(t):
     return gov.propagate_tags(t.graph[0], gov.first_pii_type(t.dataset_columns()))
 
 
+# The policy of each kind of personal data: masking and days of retention. Kinds without one are reviewed.
+_POLICIES = [("EMAIL", "HASH", 365), ("PHONE", "PARTIAL", 365), ("SSN", "REDACT", 90), ("NAME", "PARTIAL", 730)]
+_TAGGED = f"SELECT dataset, tag, bool_and(inherited) AS inherited FROM (SELECT dataset, pii_type AS tag, false AS inherited FROM ({_FIRST}) UNION ALL SELECT descendant, pii_type, true FROM closure JOIN ({_FIRST}) f ON f.dataset = ancestor) GROUP BY ALL"
+_ACTIONS = f"""SELECT dataset, tag, inherited, coalesce(masking, 'REVIEW') AS masking, coalesce(retention_days, 0) AS retention_days, CASE WHEN dataset LIKE 'ds_%' THEN 'team_' || split_part(dataset, '_', 2) ELSE '' END AS owner
+    FROM ptags LEFT JOIN (VALUES {", ".join(map(str, _POLICIES))}) p(tag, masking, retention_days) USING (tag)"""
+
+
+def policy_actions(t):
+    policies = t.spark.createDataFrame(_POLICIES, "tag string, masking string, retention_days int")
+    owners = t.nodes().filter("type = 'dataset'").selectExpr("id AS dataset", "'team_' || split_part(id, '_', 2) AS owner")
+    tagged = gov.propagate_tags(t.graph[0], gov.first_pii_type(t.dataset_columns()))
+    return gov.apply_policies(tagged, policies, owners)
+
+
+@query("v12_policy_actions", "SELECT * FROM pactions", ptags=_TAGGED, pactions=_ACTIONS)
+def v12_actions(t):
+    return policy_actions(t)
+
+
+@query("v12_notifications", "SELECT DISTINCT unnest([owner, 'governance']) AS recipient, dataset, tag FROM pactions WHERE owner <> '' UNION SELECT 'governance', dataset, tag FROM pactions", ptags=_TAGGED, pactions=_ACTIONS)
+def v12_notify(t):
+    return gov.notifications(policy_actions(t))
+
+
 @query("a22_highest_classification", "SELECT id AS dataset, coalesce(['PUBLIC', 'INTERNAL', 'CONFIDENTIAL', 'RESTRICTED'][max(list_position(['PUBLIC', 'INTERNAL', 'CONFIDENTIAL', 'RESTRICTED'], classification))], 'PUBLIC') AS classification FROM nodes LEFT JOIN tags ON dataset = id GROUP BY id", tags=_TAGS)
 def a22(t):
     return gov.highest_classification(t.graph[1].select(F.col("id").alias("dataset")), tags(t))
