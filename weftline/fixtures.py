@@ -152,15 +152,21 @@ class Tables:
             "explode(array(in_a, in_b)) AS input", "job_name", "job_no", "layer", "out_a AS output"
         ).distinct()
 
-    def entity_edges(self) -> DataFrame:
-        """Row-level lineage: part/supplier -> order -> customer -> nation -> region."""
+    def entity_layers(self) -> list[DataFrame]:
+        """Row-level lineage, an edge table for each layer: part/supplier -> order -> customer -> nation -> region."""
         items = self.read("lineitem").selectExpr(
             "explode(array('part:' || l_partkey, 'supplier:' || l_suppkey)) AS src", "'order:' || l_orderkey AS dst"
         ).distinct()
         orders = self.read("orders").selectExpr("'order:' || o_orderkey AS src", "'customer:' || o_custkey AS dst")
         customers = self.read("customer").selectExpr("'customer:' || c_custkey AS src", "'nation:' || c_nationkey AS dst")
         nations = self.read("nation").selectExpr("'nation:' || n_nationkey AS src", "'region:' || n_regionkey AS dst")
-        return items.unionByName(orders).unionByName(customers).unionByName(nations)
+        return [items, orders, customers, nations]
+
+    def entity_edges(self) -> DataFrame:
+        items, *others = self.entity_layers()
+        for layer in others:
+            items = items.unionByName(layer)
+        return items
 
     # columns ----------------------------------------------------------------
     def column_edges(self) -> DataFrame:

@@ -92,6 +92,24 @@ def reach(
     return seen if include_root else seen.filter("depth > 0")
 
 
+def layered_reach(layers: list[DataFrame]) -> DataFrame:
+    """(root, node, depth) from every start of the first edge table, where each table leads to the starts of the next.
+
+    The number of hops is known and no node is met at two depths, so there is no loop and no visited set: a hop is
+    a join with its own layer alone and one distinct.
+    """
+    step, found = None, None
+    for depth, layer in enumerate(layers, 1):
+        edges = layer.select("src", "dst").filter("src IS NOT NULL AND dst IS NOT NULL")
+        if step is None:
+            step = edges.select(F.col("src").alias("root"), F.col("dst").alias("node")).distinct()
+        else:
+            step = step.join(edges, step["node"] == edges["src"]).select("root", F.col("dst").alias("node")).distinct()
+        at = step.withColumn("depth", F.lit(depth))
+        found = at if found is None else found.unionByName(at)
+    return found
+
+
 def bounded_reach(edges: DataFrame, roots: DataFrame, max_depth: int, max_nodes: int, direction: str = "downstream") -> DataFrame:
     """The ``max_nodes`` nearest nodes of each root within ``max_depth``, in (depth, node) order."""
     from pyspark.sql import Window

@@ -362,7 +362,6 @@ _ENTITY_WALK = """SELECT src AS root, dst AS node, 1 AS depth FROM entity_edges
 @query("g06_entity_impact", """SELECT root, count(*) AS reached, count(*) FILTER (node LIKE 'order:%') AS orders, count(*) FILTER (node LIKE 'customer:%') AS customers
     FROM (SELECT root, node, min(depth) AS depth FROM entity_walk GROUP BY root, node) GROUP BY root""", entity_walk=_ENTITY_WALK)
 def g06_entity(t):
-    starts = t.read("lineitem").selectExpr("explode(array('part:' || l_partkey, 'supplier:' || l_suppkey)) AS root").distinct()
-    return traversal.reach(t.entity_edges(), starts).groupBy("root").agg(
+    return traversal.layered_reach(t.entity_layers()).groupBy("root").agg(
         F.count("*").alias("reached"), F.count_if(F.expr("startswith(node, 'order:')")).alias("orders"),
         F.count_if(F.expr("startswith(node, 'customer:')")).alias("customers"))
