@@ -67,9 +67,12 @@ class PieceStore:
     def clear(self) -> None:
         self.keys, self.places, self.values = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
 
+    def add(self, pieces: list[bytes]) -> None:
+        self.values.extend(self.encode(pieces))
+
     def look_up(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Places in ``self.values`` for each span; unknown pieces are encoded first."""
-        if len(self.values) > self.limit:
+        if self.keys.size > self.limit:
             self.clear()
         keys, first, inverse = np.unique(hash_spans(raw, start, end), return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, keys)
@@ -80,8 +83,36 @@ class PieceStore:
         if not known.all():
             fresh = np.flatnonzero(~known)
             data, a, b = raw.tobytes(), start[first[fresh]].tolist(), end[first[fresh]].tolist()
-            found[fresh] = np.arange(len(self.values), len(self.values) + fresh.size)
-            self.values.extend(self.encode([data[i:j] for i, j in zip(a, b, strict=True)]))
+            found[fresh] = np.arange(self.keys.size, self.keys.size + fresh.size)
+            self.add([data[i:j] for i, j in zip(a, b, strict=True)])
             self.keys = np.insert(self.keys, at[fresh], keys[fresh])
             self.places = np.insert(self.places, at[fresh], found[fresh])
         return found[inverse]
+
+
+class IdStore(PieceStore):
+    """The ids of each different piece in one flat array; ``encode`` gives the ids of all its pieces in turn and their numbers."""
+
+    def clear(self) -> None:
+        super().clear()
+        self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.first = self.counts
+
+    def add(self, pieces: list[bytes]) -> None:
+        flat, counts = self.encode(pieces)
+        self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
+        self.first = np.cumsum(self.counts) - self.counts
+
+    def ids_at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the pieces in turn, number of ids of each)."""
+        counts = self.counts[places]
+        begin = self.first[places] - (np.cumsum(counts) - counts)
+        return self.flat[np.repeat(begin, counts) + np.arange(int(counts.sum()))], counts
+
+
+def side_by_side(pieces: list[bytes]) -> np.ndarray:
+    """Which pieces can stand next to each other in one text without changing their ids: one space in front, no other white space."""
+    raw = np.frombuffer(b"".join(pieces), np.uint8)
+    ends = np.cumsum([len(p) for p in pieces])
+    starts = np.append(0, ends[:-1])
+    return (np.add.reduceat(space_mask(raw).astype(np.int32), starts) == 1) & (raw[starts] == 0x20) & (ends - starts > 1)

@@ -15,6 +15,7 @@ of their text. Repeated rows are kept.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.llm import shared
-from weftline.llm.pieces import PieceStore, cut
+from weftline.llm.pieces import IdStore, cut, side_by_side
 from weftline.llm.registry import query, table
 from weftline.llm.words import slices, text_buffer
 from weftline.session import cut_lineage
@@ -180,33 +181,68 @@ def shards_of(raw: np.ndarray) -> Iterator[Shard]:
 
 # Encoding with the library.
 
-@cache
-def _store(path: str) -> PieceStore:
-    from tokenizers import Tokenizer
+class Library:
+    """The tokenizers library over pieces: those that can stand side by side are encoded as one text, whose ids are
+    dealt out to the pieces by the bytes that each id stands for."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        vocab = self.library.get_vocab(with_added_tokens=False)
+        self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        # A letter of a byte-level token stands for one byte.
+        self.lengths = np.zeros(self.library.get_vocab_size() + 1, np.int64)
+        self.lengths[list(vocab.values())] = [len(t) for t in vocab]
+
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        plain = side_by_side(pieces)
+        together = b"".join(pieces)
+        for token in self.added:
+            if token in together:
+                plain &= np.array([token not in p for p in pieces])
+        where, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
+        found: list[np.ndarray] = []
+        counts = np.zeros(len(pieces), np.int64)
+        if where.size:
+            own = [pieces[i] for i in where.tolist()]
+            ids = np.array(self._ids([b"".join(own)])[0], np.int32)
+            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(p) for p in own])) + 1
+            counts[where] = np.diff(ends, prepend=0)
+            found.append(ids)
+        for i, ids in zip(rest.tolist(), self._ids([pieces[i] for i in rest.tolist()]), strict=True):
+            counts[i] = len(ids)
+            found.append(np.array(ids, np.int32))
+        # Side by side first, then the others: put them in the order of the pieces.
+        order = np.concatenate([where, rest])
+        sizes = counts[order]
+        begin = np.empty(len(pieces), np.int64)
+        begin[order] = np.cumsum(sizes) - sizes
+        at = np.repeat(begin - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+        return (np.concatenate(found) if found else np.zeros(0, np.int32))[at], counts
+
+    def _ids(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast([t.decode("utf-8", "surrogatepass") for t in texts], add_special_tokens=False)]
+
 
-    library = Tokenizer.from_file(path)
-    library.no_truncation()
-    library.no_padding()
-    return PieceStore(lambda pieces: [np.array(e.ids, np.int32) for e in library.encode_batch_fast([p.decode("utf-8", "surrogatepass") for p in pieces], add_special_tokens=False)])
+@cache
+def _store(path: str) -> IdStore:
+    return IdStore(Library(path).encode, limit=1_000_000)
 
 
 def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in turn, each text followed by the end id; number of ids of each text)."""
     raw, offsets = text_buffer(texts)
     start, end, pieces = cut(raw, offsets)
-    end_id, ends = np.array([END_ID], np.int32), np.cumsum(pieces).tolist()
     if not start.size:
         return np.full(len(pieces), END_ID, np.int32), np.ones(len(pieces), np.int64)
     store = _store(path)
-    found = list(map(store.values.__getitem__, store.look_up(raw, start, end).tolist()))
-    parts, counts, at = [], [], 0
-    for stop in ends:
-        own = found[at:stop]
-        parts += own
-        parts.append(end_id)
-        counts.append(sum(map(len, own)) + 1)
-        at = stop
-    return np.concatenate(parts), np.array(counts, np.int64)
+    ids, sizes = store.ids_at(store.look_up(raw, start, end))
+    ends = np.append(0, np.cumsum(sizes))[np.cumsum(pieces)]
+    return np.insert(ids, ends, END_ID), np.diff(ends, prepend=0) + 1
 
 
 def write_ids(df: DataFrame, id_column: str = "doc_id", text: str = "text", path: str | None = None, folder: str | None = None) -> tuple[str, DataFrame]:
