@@ -13,7 +13,8 @@ of its n - ceil(t n) + 1 first tokens; with k - 1 more tokens in the prefix it s
 
 Lists of combinations can be long where thousands of near copies share everything. Members of a list are first compared
 with two of its members alone and groups are formed from the links. Only lists that still hold several groups are
-joined in full, and only between members of different groups, so a large group of near copies costs rows, not pairs.
+joined in full, and only between members of different groups: first a sixteenth of the lists, whose links join most of
+what belongs together, then all lists. A large group of near copies so costs rows, not pairs.
 
 Candidates pass a filter of sizes and of 256 parity bits of the sets (the bits that differ can't be more than the tokens
 that differ), then the sets themselves are compared. Nothing is sampled or cut.
@@ -45,6 +46,8 @@ RANGE_BYTES = 16 << 20
 FLUSH_TOKENS = 3_000_000
 COPIES_A_RANGE = 500_000
 TOKENS_A_CLASS = 4
+#: Every so-manyth list is joined, then all.
+LIST_SHARES = (16, 1)
 SKETCH = [f"s{i}" for i in range(4)]
 
 
@@ -374,12 +377,14 @@ def links_of(spark: SparkSession, path: str, percent: int) -> DataFrame:
     hubs = ends.select("sig", "low.*").unionByName(ends.select("sig", "high.*"))
     stars = pairs_of(combined, hubs, F.col("a.print") != F.col("b.print"), percent)
     found = cut_lineage(linked(short.unionByName(stars).distinct(), sets, percent))
-    grouped = combined.join(components(found), "print", "left").withColumn("root", F.coalesce("root", "print"))
-    sizes = grouped.groupBy("sig", "root").agg(F.count("*").alias("rows"))
-    lists = sizes.groupBy("sig").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count("*").alias("groups")).filter("groups > 1")
-    split = cut_lineage(grouped.join(lists.select("sig", "main"), "sig"))
-    rest = pairs_of(split.filter("root <> main"), split, F.col("a.root") != F.col("b.root"), percent)
-    return found.unionByName(linked(rest, sets, percent))
+    for share in LIST_SHARES:
+        grouped = combined.join(components(found), "print", "left").withColumn("root", F.coalesce("root", "print"))
+        sizes = grouped.filter(F.pmod("sig", F.lit(share)) == 0).groupBy("sig", "root").agg(F.count("*").alias("rows"))
+        lists = sizes.groupBy("sig").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count("*").alias("groups")).filter("groups > 1")
+        split = cut_lineage(grouped.join(lists.select("sig", "main"), "sig"))
+        rest = pairs_of(split.filter("root <> main"), split, F.col("a.root") != F.col("b.root"), percent)
+        found = cut_lineage(found.unionByName(linked(rest, sets, percent)))
+    return found
 
 
 def groups(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
