@@ -99,7 +99,13 @@ class writer:
 
     def __exit__(self, kind, *_) -> None:
         self.stream.close()
-        if kind is None:
+        if kind is not None:
+            self.fs.delete_file(self.partial)
+            return
+        try:
             self.fs.move(self.partial, f"{self.root}/{self.name}")
-        else:
+        except OSError:
+            # Some stores don't move over a file that is there: another attempt of the task has written it.
+            if self.fs.get_file_info(f"{self.root}/{self.name}").type != pafs.FileType.File:
+                raise
             self.fs.delete_file(self.partial)
