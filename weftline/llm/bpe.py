@@ -177,7 +177,7 @@ def bpe(path: str) -> Bpe:
 
 @cache
 def _coded(path: str) -> PieceStore:
-    return PieceStore(bpe(path).encode)
+    return PieceStore(bpe(path).encode, limit=120_000)
 
 
 def _pieces_of(texts: pa.Array, path: str) -> tuple[list, list[int]]:
