@@ -12,6 +12,9 @@ from weftline.llm import bpe, decontaminate, jaccard_join, language, quality
 from weftline.llm.registry import table
 from weftline.session import cut_lineage
 
+#: Near copies share this percentage of the shingles of so many words. The parameters of op7 are its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that the quality classifier accepts; it learns from ``labels`` and the rows that aren't held out."""
@@ -28,7 +31,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near copies."""
-    return jaccard_join.keep_first(docs)
+    return jaccard_join.keep_first(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
