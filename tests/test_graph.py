@@ -3,6 +3,7 @@
 import itertools
 import random
 from collections import defaultdict, deque
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from weftline.operators import centrality, paths, topology, traversal
+from weftline.plans import graph_queries
 
 
 def random_pairs(seed, n=12, m=22, acyclic=True):
@@ -97,6 +99,18 @@ def test_simple_and_shortest_paths(spark, edges_of):
             assert short[root, node] == min(all_paths(pairs, root, node), key=lambda p: (len(p), p))
 
 
+def test_undirected_query_walks_to_the_end(spark, edges_of):
+    # Two sources meet after a chain, twelve hops apart; a third one is on its own.
+    chain = ["ds_a0", *(f"{kind}{i}" for i in range(1, 5) for kind in ("job_", "ds_"))]
+    pairs = [*itertools.pairwise(chain), ("ds_b0", "job_b1"), ("job_b1", "ds_b1"), ("ds_b1", "job_b2"), ("job_b2", "ds_4"), ("ds_c0", "job_c1")]
+    names = sorted({x for p in pairs for x in p})
+    nodes = spark.createDataFrame([(x, "dataset" if x.startswith("ds") else "job", "n") for x in names], "id string, type string, namespace string")
+    got = rows(graph_queries.g11_undirected(SimpleNamespace(graph=(edges_of(pairs), nodes))))
+    both = pairs + [(b, a) for a, b in pairs]
+    assert got == sorted((root, node, depth) for root in ("ds_a0", "ds_b0", "ds_c0") for node, depth in bfs(both, root).items())
+    assert max(depth for _, _, depth in got) == 12
+
+
 def test_levels_longest_paths_and_cycles(edges_of):
     pairs = random_pairs(11)
     levels = {r["node"]: r["level"] for r in paths.topological_levels(edges_of(pairs)).collect()}
