@@ -103,6 +103,21 @@ def test_keep_first_keeps_columns(spark):
     assert sorted(r.key for r in kept.collect()) == ["q", "s", "t", "u"]
 
 
+def test_keep_first_keeps_one_row_of_each_group(spark):
+    near = [f"n{i}" for i in range(40)]
+    rows = [
+        (1, "a b c d", "p"), (1, "a b c d", "q"), (1, "A b c d", "p"), (2, "a b c d", "r"), (2, "a b c d", "r"),  # repeated rows and two texts of the smallest id
+        (None, "x y z", "s"), (None, "x y z", "s"), (None, "X y z", "t"), (None, "none alike here", "t"),  # no ids
+        (3, " ".join(near), "u"), (3, " ".join([*near, "more"]), "u"), (3, "other text of the same id", "v"),
+        (4, "", "w"), (4, "", "w"), (None, None, "w"), (None, None, "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(3)
+    kept = jj.keep_first(df)
+    assert kept.columns == df.columns
+    got = sorted((str(r.doc_id), (r.text or "").lower()[:5]) for r in kept.collect())
+    assert got == sorted([("1", "a b c"), ("None", "x y z"), ("None", "none "), ("3", "n0 n1"), ("3", "other"), ("4", ""), ("4", ""), ("None", ""), ("None", "")])
+    assert set(map(tuple, kept.collect())) <= set(rows)
+
+
 def test_sketches_bound_the_difference():
     rng = np.random.default_rng(1)
     texts = [" ".join(map(str, rng.integers(0, 50, 200))) for _ in range(6)]

@@ -387,8 +387,8 @@ def links_of(spark: SparkSession, path: str, percent: int) -> DataFrame:
     return found
 
 
-def groups(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, key, n, component) for each row of ``df``; ``key`` is a hash of the text, for joining back."""
+def rows_of_groups(df: DataFrame, id_column: str, text: str, words: int, percent: int) -> DataFrame:
+    """(id, key, n, component, first) for each row of ``df``; ``first`` has the id and key of the row that stands for the group."""
     spark = df.sparkSession
     rows = df.select(df[f"`{id_column}`"].cast("long").alias("id"), df[f"`{text}`"].alias("text"))
     folder = shared.new_folder(spark, "jaccard")
@@ -398,20 +398,42 @@ def groups(df: DataFrame, id_column: str = "doc_id", text: str = "text", words:
     copies = write_copies(sets, folder, number)
     ranges = write_frequencies(rows, words, folder, copies, size)
     roots = cut_lineage(components(links_of(spark, write_index(rows, words, percent, folder, copies, ranges), percent)))
-    own = sets.filter("n > 0").groupBy("print").agg(F.min("id").alias("least"))
+    row = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
+    own = sets.filter("n > 0").groupBy("print").agg(F.min("id").alias("least"), F.min(row).alias("first"))
     joined = own.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    group = joined.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("sets"))
+    group = joined.groupBy("root").agg(F.min("least").alias("component"), F.min("first").alias("group_first"), F.count("*").alias("sets"))
     # Sets that neither copies nor links reach are their own component.
-    named = joined.join(group.filter("sets > 1"), "root", "left").select("print", F.coalesce("component", "least").alias("component"))
+    named = joined.join(group.filter("sets > 1"), "root", "left").select(
+        "print", F.coalesce("component", "least").alias("component"), F.coalesce("group_first", "first").alias("first"))
     out = sets.join(named, "print", "left")
-    return out.select("id", "key", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"))
+    return out.select("id", "key", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"), "first")
+
+
+def groups(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(id, key, n, component) for each row of ``df``; ``key`` is a hash of the text, for joining back."""
+    return rows_of_groups(df, id_column, text, words, percent).drop("first")
 
 
 def keep_first(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``df`` with the row of the smallest id of each group; all columns are kept. Rows without an id stay unless their group has one."""
-    found = groups(df, id_column, text, words, percent).filter("component IS NOT NULL AND NOT component <=> id")
-    gone = found.select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
-    return df.join(gone, df[f"`{id_column}`"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(df[f"`{text}`"]) == gone["_key"]), "left_anti")
+    """``df`` with one row of each group, one of the smallest id; all columns are kept.
+
+    Of several texts under that id, and of a group without ids, the text of the smallest hash stays; of repeated rows one
+    stays. Rows without words are in no group and all stay.
+    """
+    found = cut_lineage(rows_of_groups(df, id_column, text, words, percent).filter("n > 0").select(
+        F.col("id").alias("_id"), F.col("key").alias("_key"), (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))).alias("_first")))
+    gone = found.filter("NOT _first").select("_id", "_key").distinct()
+    repeated = cut_lineage(found.filter("_first").groupBy("_id", "_key").agg(F.count("*").alias("rows")).filter("rows > 1").select("_id", "_key"))
+
+    def same(keys: DataFrame) -> Column:
+        return df[f"`{id_column}`"].cast("long").eqNullSafe(keys["_id"]) & (F.xxhash64(df[f"`{text}`"]) == keys["_key"])
+
+    once = gone.unionByName(repeated)
+    # Repeated rows meet by id and text in an aggregation that combines them before the shuffle.
+    row, order = F.struct(*(df[f"`{c}`"] for c in df.columns)), F.to_json(F.struct(*(df[f"`{c}`"] for c in df.columns)))
+    one = df.join(repeated, same(repeated), "left_semi").groupBy(
+        df[f"`{id_column}`"].cast("long").alias("_id"), F.xxhash64(df[f"`{text}`"]).alias("_key")).agg(F.min_by(row, F.xxhash64(order)).alias("_row"))
+    return df.join(once, same(once), "left_anti").unionByName(one.select("_row.*"))
 
 
 @query("op7_jaccard_join")
