@@ -99,3 +99,8 @@ def test_query(spark):
     want = brute(docs, items)
     assert any(r[5] for r in want)
     assert sorted((str(r[0]), *r[1:]) for r in dc.op10_decontaminate(spark, folder).collect()) == want
+
+
+def test_item_ids_are_kept_as_they_are(spark):
+    docs, items = [(1, "a b c")], [("x\ny", "a b"), ("x y", "b c"), ("", "c")]
+    assert run(spark, docs, items) == brute(docs, items)

@@ -141,7 +141,7 @@ def segments(batch: pa.RecordBatch) -> Iterator[tuple[Segment, list, list]]:
 # Test items.
 
 def write_items(items: DataFrame, id_column: str = "item_id", text: str = "text") -> tuple[str, list[str]]:
-    """Word hashes of all items as files; (folder, names). A file is its items' sizes, their names and their words."""
+    """Word hashes of all items as files; (folder, names). A file is its items' sizes, the ends of their names, their words and their names."""
     folder = shared.new_folder(items.sparkSession, "test-items")
     rows = items.select(F.coalesce(items[f"`{id_column}`"].cast("string"), F.lit("")).alias("id"), items[f"`{text}`"].alias("text"))
 
@@ -150,9 +150,10 @@ def write_items(items: DataFrame, id_column: str = "item_id", text: str = "text"
         for batch in batches:
             for rows in slices(batch, "text"):
                 hashes, counts = word_hashes(rows.column("text"))
-                ids = "\n".join(i.replace("\n", " ") for i in rows.column("id").to_pylist()).encode()
+                ids = [i.encode() for i in rows.column("id").to_pylist()]
+                ends = np.cumsum([len(i) for i in ids], dtype=np.int64)
                 names.append(f"items-{part:06d}-{len(names):06d}")
-                shared.put(folder, names[-1], np.array([counts.size, len(ids)], np.int64), counts.astype(np.int64), hashes, ids)
+                shared.put(folder, names[-1], np.array([counts.size, ends[-1]], np.int64), counts.astype(np.int64), ends, hashes, b"".join(ids))
         yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string())})
 
     return folder, sorted(r.name for r in rows.mapInArrow(run, "name string").collect())
@@ -164,8 +165,9 @@ def windows_of(folder: str, names: list[str], length: int) -> Iterator[tuple[lis
         raw = shared.mapped(folder, name)
         n, size = raw[:16].view(np.int64).tolist()
         counts = raw[16:16 + 8 * n].view(np.int64)
-        ids = raw[raw.size - size:].tobytes().decode().split("\n")
-        hashes = np.asarray(raw[16 + 8 * n:raw.size - size]).view(np.uint64)
+        ends, said = raw[16 + 8 * n:16 + 16 * n].view(np.int64).tolist(), raw[raw.size - size:].tobytes()
+        ids = [said[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
+        hashes = np.asarray(raw[16 + 16 * n:raw.size - size]).view(np.uint64)
         first = np.cumsum(counts) - counts
         for width in np.unique(np.minimum(counts, length)).tolist():
             if width:

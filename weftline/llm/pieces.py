@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from weftline.llm.words import hash_spans
+from weftline.llm.words import equal_spans, hash_spans
 
 #: White_Space of Unicode: ASCII, then the UTF-8 forms of the others.
 ASCII_SPACE = np.zeros(256, bool)
@@ -58,7 +58,10 @@ def cut(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 class PieceStore:
-    """What ``encode`` gives for each different piece, kept between slices up to ``limit`` pieces."""
+    """What ``encode`` gives for each different piece, kept between slices up to ``limit`` pieces.
+
+    Pieces are found by hash and then compared byte by byte; one whose hash belongs to another piece is kept by its bytes.
+    """
 
     def __init__(self, encode: Callable[[list[bytes]], list], limit: int = 300_000):
         self.encode, self.limit = encode, limit
@@ -66,13 +69,22 @@ class PieceStore:
 
     def clear(self) -> None:
         self.keys, self.places, self.values = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+        self.raw, self.ends, self.clashing = np.zeros(0, np.uint8), np.zeros(1, np.int64), {}
 
     def add(self, pieces: list[bytes]) -> None:
         self.values.extend(self.encode(pieces))
 
+    def _append(self, pieces: list[bytes]) -> np.ndarray:
+        """Places of new pieces."""
+        known = self.ends.size - 1
+        self.add(pieces)
+        self.raw = np.concatenate([self.raw, np.frombuffer(b"".join(pieces), np.uint8)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(p) for p in pieces])])
+        return np.arange(known, known + len(pieces))
+
     def look_up(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Places in ``self.values`` for each span; unknown pieces are encoded first."""
-        if self.keys.size > self.limit:
+        if self.keys.size + len(self.clashing) > self.limit:
             self.clear()
         keys, first, inverse = np.unique(hash_spans(raw, start, end), return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, keys)
@@ -83,11 +95,16 @@ class PieceStore:
         if not known.all():
             fresh = np.flatnonzero(~known)
             data, a, b = raw.tobytes(), start[first[fresh]].tolist(), end[first[fresh]].tolist()
-            found[fresh] = np.arange(self.keys.size, self.keys.size + fresh.size)
-            self.add([data[i:j] for i, j in zip(a, b, strict=True)])
+            found[fresh] = self._append([data[i:j] for i, j in zip(a, b, strict=True)])
             self.keys = np.insert(self.keys, at[fresh], keys[fresh])
             self.places = np.insert(self.places, at[fresh], found[fresh])
-        return found[inverse]
+        places = found[inverse]
+        for i in np.flatnonzero(~equal_spans(raw, start, end, self.raw, self.ends[places], self.ends[places + 1])).tolist():
+            piece = raw[start[i]:end[i]].tobytes()
+            if piece not in self.clashing:
+                self.clashing[piece] = int(self._append([piece])[0])
+            places[i] = self.clashing[piece]
+        return places
 
 
 class IdStore(PieceStore):

@@ -7,11 +7,11 @@ document rather than the size of a batch.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -29,7 +29,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 _STEP = 0x9E3779B97F4A7C15
-_WRAP = 1 << 64
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -42,26 +41,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP))
-_BASE = 0x2545F4914F6CDD1D
-_BASE_INVERSE = pow(_BASE, -1, _WRAP)
-
-
-@cache
-def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    def run(base: int) -> np.ndarray:
-        out = np.full(length, base, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
-
-    return run(_BASE), run(_BASE_INVERSE)
-
-
-def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse; usual slices share one table, longer texts get their own."""
-    shared = SLICE_BYTES + (SLICE_BYTES >> 2)
-    table = _powers(shared) if length <= shared else _powers.__wrapped__(length)
-    return table[0][:length], table[1][:length]
+#: Spans up to this length are hashed in blocks of 8 bytes, all at once; longer ones one by one.
+LONG_SPAN = 512
 
 
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,14 +86,57 @@ def find_words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray) ->
     return start, end, np.searchsorted(offsets, start, "right") - 1
 
 
+def blocks_at(raw: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on as one number; zeros follow the end."""
+    padded = np.zeros(raw.size + 8, np.uint8)
+    padded[:raw.size] = raw
+    return np.ndarray((raw.size + 1,), "<u8", padded.data, strides=(1,))
+
+
+def _masked(blocks: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Blocks at the places ``at``, without the bytes beyond the ``left`` ones that belong to the span."""
+    shift = ((8 - np.minimum(left, 8)) * 8).astype(np.uint64)
+    return blocks[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> shift)
+
+
 def hash_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span, from one running sum over the buffer."""
+    """A 64-bit hash of the bytes of each span: its length, then its blocks of 8 bytes, each mixed into what came before.
+
+    Long spans get an XXH3 hash. Both kinds chain their blocks, so no regular pair of texts has equal hashes.
+    """
+    length = end - start
+    out = mix((length.astype(np.uint64) + np.uint64(1)) * np.uint64(_STEP))
     if not start.size:
-        return np.zeros(0, np.uint64)
-    power, inverse = powers(raw.size)
-    running = np.zeros(raw.size + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[raw] * power, out=running[1:])
-    return mix((running[end] - running[start]) * inverse[start] + (end - start).astype(np.uint64) * np.uint64(_STEP))
+        return out
+    blocks = blocks_at(raw)
+    short = length <= LONG_SPAN
+    left = np.flatnonzero(short & (length > 0))
+    done = 0
+    while left.size:
+        out[left] = mix(out[left] * np.uint64(_STEP) + _masked(blocks, start[left] + done, length[left] - done))
+        done += 8
+        left = left[length[left] > done]
+    for i in np.flatnonzero(~short).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(memoryview(np.ascontiguousarray(raw[start[i]:end[i]])))
+    return out
+
+
+def equal_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, other_start: np.ndarray, other_end: np.ndarray) -> np.ndarray:
+    """Whether each span of ``raw`` has the bytes of the span of ``other`` beside it."""
+    length = end - start
+    same = length == other_end - other_start
+    mine, theirs = blocks_at(raw), blocks_at(other)
+    left = np.flatnonzero(same & (length > 0) & (length <= LONG_SPAN))
+    done = 0
+    while left.size:
+        rest = length[left] - done
+        differ = _masked(mine, start[left] + done, rest) != _masked(theirs, other_start[left] + done, rest)
+        same[left[differ]] = False
+        done += 8
+        left = left[~differ & (rest > 8)]
+    for i in np.flatnonzero(same & (length > LONG_SPAN)).tolist():
+        same[i] = np.array_equal(raw[start[i]:end[i]], other[other_start[i]:other_end[i]])
+    return same
 
 
 def fold(hashes: np.ndarray, nxt: np.ndarray) -> np.ndarray:
