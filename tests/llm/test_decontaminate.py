@@ -34,9 +34,9 @@ def brute(docs, items):
     return sorted(out)
 
 
-def run(spark, docs, items):
+def run(spark, docs, items, kind="long"):
     d = spark.createDataFrame(docs, "doc_id long, text string")
-    b = spark.createDataFrame(items, "item_id long, text string")
+    b = spark.createDataFrame(items, f"item_id {kind}, text string")
     got = dc.judge(dc.build_index(d), dc.write_items(b)).drop("text_key")
     return sorted((str(r[0]), *r[1:]) for r in got.collect())
 
@@ -103,4 +103,4 @@ def test_query(spark):
 
 def test_item_ids_are_kept_as_they_are(spark):
     docs, items = [(1, "a b c")], [("x\ny", "a b"), ("x y", "b c"), ("", "c")]
-    assert run(spark, docs, items) == brute(docs, items)
+    assert run(spark, docs, items, "string") == brute(docs, items)
