@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES: list[str] = ["kneser_ney", "quality", "sharding", "repair_ids", "bpe", "language", "jaccard_join", "url_filter", "topk", "decontaminate", "merkle", "prefix_trie"]
+MODULES: list[str] = ["kneser_ney", "quality", "sharding", "repair_ids", "bpe", "language", "jaccard_join", "url_filter", "topk", "decontaminate", "toxicity", "merkle", "prefix_trie"]
 
 
 def query(name: str, sql: str | None = None):
