@@ -7,6 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from weftline.llm import jaccard_join as jj
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -118,6 +120,36 @@ def test_keep_first_keeps_one_row_of_each_group(spark):
     assert set(map(tuple, kept.collect())) <= set(rows)
 
 
+def clusters(members, seed=5):
+    """Copies of a text of 100 words with up to ten of them replaced."""
+    draw, rows = random.Random(seed), []
+    for _ in range(2):
+        base = [f"w{draw.randrange(10 ** 6)}" for _ in range(100)]
+        for _ in range(members):
+            own = list(base)
+            for _ in range(draw.randrange(11)):
+                own[draw.randrange(100)] = f"x{draw.randrange(10 ** 9)}"
+            rows.append((len(rows), " ".join(own)))
+    return rows
+
+
+def test_pairs_grow_with_the_members_of_a_cluster(spark, monkeypatch):
+    made, real = [], jj.pairs_of
+
+    def counting(left, right, condition, percent):
+        met = left.alias("a").join(right.alias("b"), (F.col("a.sig") == F.col("b.sig")) & condition & jj.near(percent))
+        made[-1] += met.count()
+        return real(left, right, condition, percent)
+
+    monkeypatch.setattr(jj, "pairs_of", counting)
+    for members in (60, 300):
+        made.append(0)
+        rows = clusters(members)
+        jj.groups(spark.createDataFrame(rows, "doc_id long, text string"), words=5, percent=80)
+    # Five times the members; all their pairs would be 25 times as many.
+    assert made[1] < 7 * made[0]
+
+
 def test_sketches_bound_the_difference():
     rng = np.random.default_rng(1)
     texts = [" ".join(map(str, rng.integers(0, 50, 200))) for _ in range(6)]

@@ -3,7 +3,6 @@
 import hashlib
 import random
 import re
-import sys
 
 import pytest
 from tokenizers import Tokenizer
@@ -11,7 +10,6 @@ from tokenizers import Tokenizer
 import corpus_pipeline as cp
 from tests.llm.test_decontaminate import brute as brute_hits
 from tests.llm.test_jaccard_join import WORD
-from tests.llm.test_jaccard_join import brute as brute_groups
 from weftline.llm import bpe, language, quality
 
 FOLDER = "/root/testdata/sf0.001"
@@ -24,7 +22,7 @@ def test_rows_by_hand(spark):
     kept = docs.filter(docs.doc_id.isin(list(good)))
     network = language.fit_labels(kept)
     known = [(r.doc_id, r.text) for r in language.identify(kept, network).collect() if r.lang_pred != "und" and r.score >= language.LEAST_SCORE]
-    single = {int(d) for d, _, c in brute_groups(known) if d == c}
+    single = set(near_groups(known).values())
     left = [(d, t) for d, t in known if d in single]
     items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
     bad = {r[0] for r in brute_hits(left, items) if r[5]}
@@ -78,8 +76,3 @@ def test_near_copies_by_five_words(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted(r.doc_id for r in cp.keep_one_of_each_group(spark, df, FOLDER).collect())
     assert got == sorted(set(want.values())) and len(got) < len(rows)
-
-
-def test_rows_by_hand_by_five_words(spark, monkeypatch):
-    monkeypatch.setattr(sys.modules[__name__], "brute_groups", lambda rows: [(str(d), None, str(c)) for d, c in near_groups(rows).items()])
-    test_rows_by_hand(spark)

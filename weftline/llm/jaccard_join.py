@@ -12,11 +12,12 @@ of its n - ceil(t n) + 1 first tokens; with k - 1 more tokens in the prefix it s
   by at most the threshold, hence lie in the same or in neighbouring bands of sizes; a set is indexed for both of its borders.
 
 Lists of combinations can be long where thousands of near copies share everything. Members of a list are first compared
-with two of its members alone and groups are formed from the links. Only lists that still hold several groups are
+with two hubs alone. One is the set with the fewest tokens of its own: what all others were copied from has none, and links with every member that
+can link with any. Groups are formed from the links. Only lists that still hold several groups are
 joined in full, and only between members of different groups: first a sixteenth of the lists, whose links join most of
 what belongs together, then all lists. A large group of near copies so costs rows, not pairs.
 
-Candidates pass a filter of sizes and of 256 parity bits of the sets (the bits that differ can't be more than the tokens
+Candidates pass a filter of sizes and of 512 parity bits of the sets (the bits that differ can't be more than the tokens
 that differ), then the sets themselves are compared. Nothing is sampled or cut.
 
 Document frequencies and the list of copies are arrays in the shared folder that workers map into memory.
@@ -48,7 +49,8 @@ COPIES_A_RANGE = 500_000
 TOKENS_A_CLASS = 4
 #: Every so-manyth list is joined, then all.
 LIST_SHARES = (16, 1)
-SKETCH = [f"s{i}" for i in range(4)]
+SKETCH_WORDS = 8
+SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
 
 # Sets.
@@ -90,10 +92,11 @@ class Sets:
         return out
 
     def sketches(self) -> np.ndarray:
-        """256 parity bits for each set, as four columns."""
-        cell = self.owner * 256 + (mix(self.tokens ^ np.uint64(0xD1B54A32D192ED03)) >> np.uint64(56)).astype(np.int64)
-        odd = (np.bincount(cell, minlength=self.n * 256) & 1).astype(np.uint8).reshape(self.n, 256)
-        return np.packbits(odd, axis=1).view(np.int64).reshape(self.n, 4)
+        """Parity bits for each set, as ``SKETCH_WORDS`` columns."""
+        bits = 64 * SKETCH_WORDS
+        cell = self.owner * bits + (mix(self.tokens ^ np.uint64(0xD1B54A32D192ED03)) % np.uint64(bits)).astype(np.int64)
+        odd = (np.bincount(cell, minlength=self.n * bits) & 1).astype(np.uint8).reshape(self.n, bits)
+        return np.packbits(odd, axis=1).view(np.int64).reshape(self.n, SKETCH_WORDS)
 
 
 def print_column(prints: np.ndarray) -> pa.Array:
@@ -160,7 +163,7 @@ def is_first(prints: np.ndarray, ids: pa.Array, folder: str, ranges: int) -> np.
 
 
 def write_frequencies(rows: DataFrame, words: int, folder: str, copies: int, size: int) -> int:
-    """Tokens that two sets or more have (their upper 48 bits) with how many do, up to 255; the number of files."""
+    """Tokens that two sets or more have (their upper 48 bits) with how many do; the number of files."""
     ranges = max(1, -(-size // RANGE_BYTES))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +177,7 @@ def write_frequencies(rows: DataFrame, words: int, folder: str, copies: int, siz
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 steps = np.diff(tokens[a:b], prepend=tokens[a:a + 1])
                 kind = np.uint32 if steps.max(initial=0) < 1 << 32 else np.uint64
-                body = steps.astype(kind).tobytes() + np.minimum(counts[a:b], 255).astype(np.uint8).tobytes()
+                body = steps.astype(kind).tobytes() + counts[a:b].astype(np.uint32).tobytes()
                 header = np.array([b - a, np.dtype(kind).itemsize, len(body), int(tokens[a])], np.int64).tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([at[a]], pa.int64()), pa.array([header + pa.compress(body, "zstd", asbytes=True)], pa.binary())], names=["range", "package"])
 
@@ -196,7 +199,7 @@ def write_frequencies(rows: DataFrame, words: int, folder: str, copies: int, siz
                 body = pa.decompress(raw[32:], full, "zstd", asbytes=True)
                 steps = np.frombuffer(body, np.uint32 if kind == 4 else np.uint64, n)
                 tokens.append(np.cumsum(steps, dtype=np.uint64) + np.uint64(start))
-                counts.append(np.frombuffer(body, np.uint8, n, n * kind))
+                counts.append(np.frombuffer(body, np.uint32, n, n * kind))
         token, number = np.concatenate(tokens), np.concatenate(counts)
         order = np.argsort(token)
         token, number = token[order], number[order].astype(np.int64)
@@ -204,7 +207,7 @@ def write_frequencies(rows: DataFrame, words: int, folder: str, copies: int, siz
         number = np.add.reduceat(number, first)
         often = number > 1
         if often.any():
-            shared.put(folder, f"frequencies-{group.column('range')[0].as_py():07d}", token[first][often], np.minimum(number[often], 255).astype(np.uint8))
+            shared.put(folder, f"frequencies-{group.column('range')[0].as_py():07d}", token[first][often], number[often].astype(np.uint32))
         return pa.table({"done": pa.array([int(often.sum())], pa.int64())})
 
     rows.mapInArrow(count, "range long, package binary").groupBy("range").applyInArrow(merge, "done long").write.format("noop").mode("overwrite").save()
@@ -222,7 +225,7 @@ def frequencies(tokens: np.ndarray, folder: str, ranges: int) -> np.ndarray:
             raw = shared.mapped(folder, f"frequencies-{at[a]:07d}")
         except FileNotFoundError:  # no token of this range in two sets
             continue
-        keys, counts = shared.columns(raw, "u8", "u1")
+        keys, counts = shared.columns(raw, "u8", "u4")
         place = np.minimum(np.searchsorted(keys, wanted[a:b]), keys.size - 1)
         met = np.flatnonzero(keys[place] == wanted[a:b])
         out[a + met] = counts[place[met]]
@@ -231,7 +234,7 @@ def frequencies(tokens: np.ndarray, folder: str, ranges: int) -> np.ndarray:
 
 # The index.
 
-INDEX = "kind int, sig long, print binary, n long, s0 long, s1 long, s2 long, s3 long, tokens binary"
+INDEX = f"kind int, sig long, print binary, n long, alone int, {', '.join(f'{s} long' for s in SKETCH)}, tokens binary"
 SET, SINGLE, PAIR = 0, 1, 2
 
 
@@ -301,8 +304,8 @@ def write_index(rows: DataFrame, words: int, percent: int, folder: str, copies:
                     who = np.concatenate(whose)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.concatenate(kind), pa.int32()), pa.array(np.concatenate(sig).view(np.int64), pa.int64()), print_column(prints).take(pa.array(who)),
-                        pa.array(own.sizes[who], pa.int64()), *(pa.array(sketch[who, k], pa.int64()) for k in range(4)), pa.array(sets, pa.binary())],
-                        names=["kind", "sig", "print", "n", *SKETCH, "tokens"])
+                        pa.array(own.sizes[who], pa.int64()), pa.array(alone[who], pa.int32()), *(pa.array(sketch[who, k], pa.int64()) for k in range(SKETCH_WORDS)), pa.array(sets, pa.binary())],
+                        names=["kind", "sig", "print", "n", "alone", *SKETCH, "tokens"])
 
     path = scratch_path(rows.sparkSession, "signatures")
     rows.mapInArrow(run, INDEX).write.partitionBy("kind").parquet(path)
@@ -311,7 +314,7 @@ def write_index(rows: DataFrame, words: int, percent: int, folder: str, copies:
 
 def read_index(spark: SparkSession, path: str, kind: int) -> DataFrame:
     found = spark.read.schema(INDEX).parquet(path).filter(F.col("kind") == kind)
-    return found.select("print", "tokens") if kind == SET else found.select("sig", "print", "n", *SKETCH).distinct()
+    return found.select("print", "tokens") if kind == SET else found.select("sig", "print", "n", "alone", *SKETCH).distinct()
 
 
 # Pairs and groups.
@@ -367,21 +370,27 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("print"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("print"), F.col("b").alias("root")).distinct())
 
 
+def lists_of_groups(combined: DataFrame, links: DataFrame) -> DataFrame:
+    """Stored rows of the lists that hold several groups of linked sets, with their ``root`` and the ``main`` one of their list, its largest."""
+    grouped = combined.join(components(links), "print", "left").withColumn("root", F.coalesce("root", "print"))
+    sizes = grouped.groupBy("sig", "root").agg(F.count("*").alias("rows"))
+    lists = sizes.groupBy("sig").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count("*").alias("groups")).filter("groups > 1")
+    return cut_lineage(grouped.join(lists.select("sig", "main"), "sig"))
+
+
 def links_of(spark: SparkSession, path: str, percent: int) -> DataFrame:
     """(print, other): links that join every group of linked sets. Within a group not all links are listed."""
     sets, singles, combined = (read_index(spark, path, k) for k in (SET, SINGLE, PAIR))
     # Lists of rare tokens hold up to RARE sets.
     short = pairs_of(singles, singles, F.col("a.print") < F.col("b.print"), percent)
-    row = F.struct("print", "n", *SKETCH)
-    ends = combined.groupBy("sig").agg(F.min(row).alias("low"), F.max(row).alias("high")).filter("low.print <> high.print")
-    hubs = ends.select("sig", "low.*").unionByName(ends.select("sig", "high.*"))
+    row = F.struct("alone", "print", "n", *SKETCH)
+    # A hub of the fewest own tokens, and one picked by its print for lists of several origins.
+    ends = combined.groupBy("sig").agg(F.min(row).alias("low"), F.max(F.struct("print", "alone", "n", *SKETCH)).alias("high"), F.count("*").alias("rows")).filter("rows > 1")
+    hubs = ends.select("sig", "low.*").unionByName(ends.filter("low.print <> high.print").select("sig", "high.*"))
     stars = pairs_of(combined, hubs, F.col("a.print") != F.col("b.print"), percent)
     found = cut_lineage(linked(short.unionByName(stars).distinct(), sets, percent))
     for share in LIST_SHARES:
-        grouped = combined.join(components(found), "print", "left").withColumn("root", F.coalesce("root", "print"))
-        sizes = grouped.filter(F.pmod("sig", F.lit(share)) == 0).groupBy("sig", "root").agg(F.count("*").alias("rows"))
-        lists = sizes.groupBy("sig").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count("*").alias("groups")).filter("groups > 1")
-        split = cut_lineage(grouped.join(lists.select("sig", "main"), "sig"))
+        split = lists_of_groups(combined.filter(F.pmod("sig", F.lit(share)) == 0), found)
         rest = pairs_of(split.filter("root <> main"), split, F.col("a.root") != F.col("b.root"), percent)
         found = cut_lineage(found.unionByName(linked(rest, sets, percent)))
     return found
