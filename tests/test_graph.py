@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from weftline.operators import centrality, paths, topology, traversal
+from weftline.operators import centrality, communities, components, paths, temporal, topology, traversal
 from weftline.plans import graph_queries
 
 
@@ -111,6 +111,63 @@ def test_undirected_query_walks_to_the_end(spark, edges_of):
     assert max(depth for _, _, depth in got) == 12
 
 
+@pytest.mark.parametrize("undirected", [False, True])
+def test_paths_of_pairs(spark, edges_of, undirected):
+    pairs = random_pairs(31, n=24, m=40, acyclic=False) + [(f"long{i:02}", f"long{i + 1:02}") for i in range(14)] + [("x", "x")]
+    both = pairs + [(b, a) for a, b in pairs] if undirected else pairs
+    names = sorted({n for p in pairs for n in p})
+    wanted = [(a, names[(i * 7 + 3 * k) % len(names)]) for i, a in enumerate(names) for k in range(3)] + [("long00", "long14"), ("x", "x"), ("nowhere", "x"), ("x", "nowhere"), (None, "x")]
+    frame = spark.createDataFrame(wanted + wanted[:5], "root string, target string")
+    got = {(r.root, r.target): (r.depth, r.path) for r in paths.shortest_path_between(edges_of(pairs), frame, undirected).collect()}
+    want = {}
+    for root, target in wanted:
+        far = {target: 0} | bfs([(b, a) for a, b in both], target)
+        if root in far and root in names:
+            path = [root]
+            while path[-1] != target:
+                path.append(min(b for a, b in both if a == path[-1] and far.get(b) == far[path[-1]] - 1))
+            want[root, target] = (len(path) - 1, path)
+    assert got == want and got["long00", "long14"][0] == 14 and got["x", "x"] == (0, ["x"])
+    short = paths.shortest_path_between(edges_of(pairs), frame, undirected, max_nodes=3).collect()
+    assert {(r.root, r.target) for r in short} == {k for k, (depth, _) in want.items() if depth <= 2}
+    if not undirected:
+        # One row for each node of a path, no arrays on the way.
+        nodes = paths.shortest_path_nodes(edges_of(pairs), frame)
+        assert nodes.columns == ["root", "target", "position", "node"] and nodes.count() == sum(len(p) for _, p in want.values())
+
+
+def brute_components(pairs):
+    reached = {a: set(bfs(pairs, a)) | {a} for a in {n for p in pairs for n in p}}
+    out = {}
+    for a in reached:
+        members = {b for b in reached[a] if a in reached[b]}
+        if len(members) > 1 or (a, a) in pairs:
+            out[a] = min(members)
+    return out
+
+
+def test_strong_components(edges_of):
+    ring = [(f"r{i:03}", f"r{(i + 1) % 260:03}") for i in range(260)]
+    tail = [(f"t{i:02}", f"t{i + 1:02}") for i in range(40)]
+    cases = [
+        random_pairs(12, n=10, m=14, acyclic=False), random_pairs(44, n=60, m=80, acyclic=False),
+        [*ring, *tail, ("r007", "t00"), ("t40", "s"), ("s", "s"), ("two", "s"), ("two", "one"), ("one", "two"), ("alone", "r000")]]
+    for pairs in cases:
+        got = components.strong_components(edges_of(pairs)).collect()
+        assert {r.node: r.component for r in got} == brute_components(pairs) and len(got) == len({r.node for r in got})
+    assert components.strong_components(edges_of([])).count() == 0
+
+
+def test_a_long_ring_is_shortened_and_a_cycle_is_seen_at_once(spark, edges_of, monkeypatch):
+    ring = spark.range(5000).selectExpr("'n' || id AS src", "'n' || ((id + 1) % 5000) AS dst")
+    core, rounds = components.cyclic_core(ring)
+    # Thousands of hops, some dozens of rounds.
+    assert core.count() < 100 and len(rounds) < 40
+    monkeypatch.setattr(paths, "cut_lineage", lambda df: pytest.fail("walked into a cycle"))
+    with pytest.raises(ValueError):
+        paths.topological_levels(edges_of([("r", "a"), ("a", "b"), ("b", "a")]))
+
+
 def test_levels_longest_paths_and_cycles(edges_of):
     pairs = random_pairs(11)
     levels = {r["node"]: r["level"] for r in paths.topological_levels(edges_of(pairs)).collect()}
@@ -217,3 +274,72 @@ def test_communities_come_to_rest(edges_of):
         now, before = after, now
     got = {r["id"]: r["community"] for r in centrality.communities(edges_of(pairs)).collect()}
     assert got == {n: min(now[n], after[n]) for n in near}
+
+
+def test_betweenness_in_batches_of_sources(edges_of):
+    pairs = random_pairs(21, n=16, m=40, acyclic=False)
+    whole = {r["id"]: r["score"] for r in centrality.betweenness(edges_of(pairs)).collect()}
+    # Some five batches instead of one.
+    parts = {r["id"]: r["score"] for r in centrality.betweenness(edges_of(pairs), batch_rows=140).collect()}
+    assert whole.keys() == parts.keys() and all(np.isclose(whole[k], parts[k]) for k in whole) and max(whole.values()) > 0
+
+
+def modularity_of(pairs, community):
+    links = {frozenset(p) for p in pairs}
+    strength = defaultdict(int)
+    for link in links:
+        for x in link if len(link) == 2 else [*link, *link]:
+            strength[x] += 1
+    total = sum(strength.values())
+    inside = sum(2 for link in links if len({community[x] for x in link}) == 1)
+    sums = defaultdict(int)
+    for x, s in strength.items():
+        sums[community[x]] += s
+    return inside / total - sum(s * s for s in sums.values()) / total ** 2
+
+
+def partitions(names):
+    if not names:
+        yield []
+        return
+    for rest in partitions(names[1:]):
+        yield [[names[0]], *rest]
+        for i, group in enumerate(rest):
+            yield [*rest[:i], [names[0], *group], *rest[i + 1:]]
+
+
+def test_louvain_communities(spark, edges_of):
+    small = [*itertools.combinations("abcd", 2), *itertools.combinations("efgh", 2), ("d", "e"), ("h", "h"), ("b", "a")]
+    got = {r.id: r.community for r in communities.louvain(edges_of(small)).collect()}
+    best = max(modularity_of(small, {x: i for i, group in enumerate(p) for x in group}) for p in partitions(list("abcdefgh")))
+    assert np.isclose(modularity_of(small, got), best) and set(got.values()) == {"a", "e"}
+    # Four groups of nodes with many links inside and few between.
+    rng = random.Random(8)
+    names = [f"g{g}m{i}" for g in range(4) for i in range(8)]
+    pairs = sorted({(a, b) for a in names for b in names if a < b and rng.random() < (0.6 if a[:2] == b[:2] else 0.03)})
+    edges = edges_of(pairs)
+    found = communities.louvain(edges)
+    label = {r.id: r.community for r in found.collect()}
+    spread = {r.id: r.community for r in centrality.communities(edges).collect()}
+    assert np.isclose(communities.modularity(edges, found), modularity_of(pairs, label))
+    assert modularity_of(pairs, label) >= max(modularity_of(pairs, spread), modularity_of(pairs, {x: x[:2] for x in names})) - 1e-9
+    assert all(label[c] == c == min(x for x in label if label[x] == c) for c in set(label.values()))
+
+
+def test_intervals_meet_instants_on_few_bins(spark):
+    rng = random.Random(2)
+    day = 86_400
+    times = [rng.randrange(0, 20 * 365 * day) for _ in range(60)] + [0, 20 * 365 * day]
+    spans = [(rng.randrange(-day, 20 * 365 * day), rng.choice([1, 60, day, 400 * day, 20 * 365 * day])) for _ in range(80)] + [(0, 20 * 365 * day), (times[3], 0), (-5 * day, day), (20 * 365 * day + 1, 5)]
+    rows = [(f"s{i}", "d", a, None if i % 9 == 0 else a + n) for i, (a, n) in enumerate(spans)]
+    versions = spark.createDataFrame(rows, "src string, dst string, f long, t long").selectExpr("src", "dst", "timestamp_seconds(f) AS valid_from", "timestamp_seconds(t) AS valid_to")
+    instants = spark.createDataFrame([(t,) for t in times * 2], "t long").selectExpr("timestamp_seconds(t) AS at")
+    for levels in (3, 20):
+        found = temporal.active_at_each(versions, instants, levels=levels)
+        got = sorted((r.a, r.src) for r in found.selectExpr("unix_seconds(at) AS a", "src").collect())
+        assert got == sorted((t, src) for t in set(times) for src, _, a, b in rows if a <= t and (b is None or t <= b))
+    # Twenty years by the day would be 7,300 rows; the cover has two bins a level at most.
+    one = spark.sql("SELECT 3L AS first, (1L << 20) - 2 AS last")
+    cover = [(r.bin << r.level, (r.bin + 1 << r.level) - 1) for r in temporal.tree_cover(one, 20).collect()]
+    assert len(cover) < 40 and sorted(cover)[0][0] == 3 and all(b[0] == a[1] + 1 for a, b in itertools.pairwise(sorted(cover))) and max(cover)[1] == (1 << 20) - 2
+    assert temporal.active_at_each(versions, instants.limit(0)).count() == 0

@@ -50,16 +50,38 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, steps_per
     return parts.select("id", (F.col("mass") / total.scalar()).alias("rank"))
 
 
-def betweenness(edges: DataFrame, levels_per_cut: int = 4) -> DataFrame:
+#: Rows of (source, edge) that a batch of sources may make.
+BATCH_ROWS = 50_000_000
+
+
+def betweenness(edges: DataFrame, levels_per_cut: int = 4, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """(id, score): share of shortest paths through each node, normalised by (n-1)(n-2).
 
-    Shortest-path counts grow level by level over the edges that lie on shortest paths;
-    dependencies are then summed backwards over the same edges.
+    Sources come in hashed batches of about ``batch_rows`` (source, edge) rows and their dependencies are added up, so what is
+    stored at a time doesn't grow with the number of sources.
     """
     pairs = stored_flow(edges, "downstream")
-    ids = pairs.selectExpr("explode(array(src, dst)) AS id").distinct()
+    ids = cut_lineage(pairs.selectExpr("explode(array(src, dst)) AS id").distinct())
+    sources = cut_lineage(roots_of(pairs, "src"))
     n = ids.count()
-    near = reach(pairs, roots_of(pairs, "src"), include_root=True)
+    batches = max(1, -(-sources.count() * pairs.count() // batch_rows))
+    raw = None
+    for number in range(batches):
+        part = sources if batches == 1 else sources.filter(F.pmod(F.xxhash64("root"), F.lit(batches)) == number)
+        own = _dependencies(pairs, part, levels_per_cut)
+        raw = own if raw is None else raw.unionByName(own)
+    scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0
+    totals = raw.groupBy("id").agg(F.sum("raw").alias("raw"))
+    return ids.join(totals, "id", "left").select("id", (F.coalesce("raw", F.lit(0.0)) * scale).alias("score"))
+
+
+def _dependencies(pairs: DataFrame, sources: DataFrame, levels_per_cut: int) -> DataFrame:
+    """Stored (id, raw): what each node carries of the shortest paths from ``sources``.
+
+    Shortest-path counts grow level by level over the edges that lie on shortest paths;
+    dependencies are then summed backwards over the same edges.
+    """
+    near = reach(pairs, sources, include_root=True)
     left = near.select("root", F.col("node").alias("u"), F.col("depth").alias("du"))
     right = near.select("root", F.col("node").alias("v"), F.col("depth").alias("dv"))
     tight = cut_lineage(
@@ -82,7 +104,7 @@ def betweenness(edges: DataFrame, levels_per_cut: int = 4) -> DataFrame:
         tight.join(above, ["root", "u"]).join(below, ["root", "v"])
         .select("root", "u", "v", "dv", (F.col("paths_u") / F.col("paths_v")).alias("ratio")))
     share = ratios.limit(0).select("root", F.col("v").alias("node"), F.col("ratio").alias("share"))
-    summed = None
+    summed = share
     for d in range(deepest, 0, -1):
         share = (
             ratios.filter(F.col("dv") == d).join(share.withColumnRenamed("node", "v"), ["root", "v"], "left")
@@ -90,12 +112,8 @@ def betweenness(edges: DataFrame, levels_per_cut: int = 4) -> DataFrame:
             .agg(F.sum(F.col("ratio") * (1 + F.coalesce("share", F.lit(0.0)))).alias("share")))
         if d % levels_per_cut == 0:
             share = cut_lineage(share)
-        summed = share if summed is None else summed.unionByName(share)
-    if summed is None:
-        return ids.withColumn("score", F.lit(0.0))
-    scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0
-    totals = summed.filter("root <> node").groupBy(F.col("node").alias("id")).agg(F.sum("share").alias("raw"))
-    return ids.join(totals, "id", "left").select("id", (F.coalesce("raw", F.lit(0.0)) * scale).alias("score"))
+        summed = summed.unionByName(share)
+    return cut_lineage(summed.filter("root <> node").groupBy(F.col("node").alias("id")).agg(F.sum("share").alias("raw")))
 
 
 def critical_nodes(edges: DataFrame, top_n: int = 5) -> DataFrame:

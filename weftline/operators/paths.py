@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.components import require_acyclic, strong_components
 from weftline.operators.traversal import HOPS_PER_ROUND, flow, reach, roots_of, stored_flow
 from weftline.session import cut_lineage
 
+SEEN_PER_CUT = 12
+
 
 def simple_paths(edges: DataFrame, pairs: DataFrame, hops_per_round: int = HOPS_PER_ROUND) -> DataFrame:
     """(root, target, path) for every simple path of each (root, target) pair.
@@ -85,16 +88,15 @@ def shortest_paths(
 def named_walks(edges: DataFrame, keep_path: bool, hops_per_round: int = HOPS_PER_ROUND) -> DataFrame:
     """(node, hops[, path]): every length at which a node is met when walking from the roots.
 
-    Each length keeps its smallest path. The graph must be acyclic; a walk longer than the
-    number of nodes proves a cycle and raises.
+    Each length keeps its smallest path. The graph must be acyclic; a cycle raises before the first step.
     """
     steps = stored_flow(edges, "downstream")
-    limit = steps.selectExpr("explode(array(src, dst)) AS id").distinct().count()
+    require_acyclic(steps)
     starts = steps.select(F.col("src").alias("node")).distinct().join(
         steps.select(F.col("dst").alias("node")), "node", "left_anti")
     path = F.array("node") if keep_path else F.array().cast("array<string>")
     frontier = starts.select("node", F.lit(0).alias("hops"), path.alias("path"))
-    walks, level = frontier, 0
+    walks = frontier
     while True:
         step, found = frontier, None
         for hop in range(1, hops_per_round + 1):
@@ -107,12 +109,9 @@ def named_walks(edges: DataFrame, keep_path: bool, hops_per_round: int = HOPS_PE
             found = at if found is None else found.unionByName(at)
         found = cut_lineage(found)
         walks = walks.unionByName(found.drop("hop"))
-        level += hops_per_round
         frontier = found.filter(F.col("hop") == hops_per_round)
         if frontier.isEmpty():
             return walks if keep_path else walks.drop("path")
-        if level > limit:
-            raise ValueError("the graph has a cycle")
 
 
 def topological_levels(edges: DataFrame) -> DataFrame:
@@ -134,25 +133,87 @@ def longest_chains(edges: DataFrame, top_n: int = 5) -> DataFrame:
 
 
 def cycle_members(edges: DataFrame) -> DataFrame:
-    """Nodes that can reach themselves; empty iff the graph is acyclic.
+    """Nodes that can reach themselves; empty iff the graph is acyclic."""
+    return strong_components(edges).select("node")
+
+
+# Paths of pairs.
+
+def shortest_path_nodes(edges: DataFrame, pairs: DataFrame, undirected: bool = False, max_nodes: int | None = None, hops_per_round: int = HOPS_PER_ROUND) -> DataFrame:
+    """(root, target, position, node): the nodes of one shortest path of each (root, target) pair, of all of them the one of the smallest names.
 
-    Edges whose source has no writer or whose target has no reader cannot be on a cycle and
-    are peeled off first. What is left is small, and its self-reaching nodes are the answer.
+    Each pair has two frontiers, one that walks from the root and one that walks against the edges from the target. Of every
+    pair the smaller one takes the next step, until a node is in both. A node keeps the least neighbour that leads on to the target; on the
+    root's side that is found by walking back from the nodes where the two met. The path is then read off from these pointers. No row
+    holds a path. A pair without a path, with more nodes than ``max_nodes``, or with an end that no edge has gives no row.
     """
-    core = cut_lineage(flow(edges, "downstream"))
-    size = core.count()
-    while size:
-        for _ in range(2):
-            core = core.join(core.select(F.col("dst").alias("src")), "src", "left_semi").join(
-                core.select(F.col("src").alias("dst")), "dst", "left_semi").select("src", "dst")
-        core = cut_lineage(core)
-        left = core.count()
-        if left == size:
-            break
-        size = left
-    loops = core.filter("src = dst").select(F.col("src").alias("node"))
-    if not size:
-        return loops
-    reached = reach(core, roots_of(core, "src"))
-    back = core.select(F.col("src").alias("node"), F.col("dst").alias("root"))
-    return reached.join(back, ["root", "node"], "left_semi").select(F.col("root").alias("node")).unionByName(loops).distinct()
+    ways = flow(edges, "downstream")
+    if undirected:
+        ways = ways.unionByName(flow(edges, "upstream")).distinct()
+    ways = cut_lineage(ways).filter("src IS NOT NULL AND dst IS NOT NULL")
+    steps = cut_lineage(ways.select(F.lit("f").alias("side"), F.col("src").alias("at"), F.col("dst").alias("next")).unionByName(
+        ways.select(F.lit("b").alias("side"), F.col("dst").alias("at"), F.col("src").alias("next"))))
+    ends = ways.selectExpr("explode(array(src, dst)) AS id").distinct()
+    known = pairs.select("root", "target").distinct().join(ends.withColumnRenamed("id", "root"), "root", "left_semi").join(
+        ends.withColumnRenamed("id", "target"), "target", "left_semi")
+    named = cut_lineage(known.select("root", "target").withColumn("pair", F.monotonically_increasing_id()))
+    start = F.expr("inline(array(named_struct('side', 'f', 'node', root), named_struct('side', 'b', 'node', target)))")
+    frontier = cut_lineage(named.filter("root <> target").select("pair", start).select("pair", "side", "node", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("toward")))
+    seen, meets, length = frontier, None, 0
+    while not frontier.isEmpty() and (max_nodes is None or length < max_nodes - 1):
+        sizes = frontier.groupBy("pair").agg(F.count_if(F.col("side") == "f").alias("fs"), F.count_if(F.col("side") == "b").alias("bs"))
+        # A side that has no frontier left has found all it can reach without meeting the other.
+        turn = sizes.filter("fs > 0 AND bs > 0").select("pair", F.expr("if(fs <= bs, 'f', 'b')").alias("turn"))
+        due = cut_lineage(frontier.join(turn, "pair"))
+        grown = due.filter("side = turn").join(steps, (F.col("node") == F.col("at")) & (due["side"] == steps["side"])).groupBy("pair", due["side"], F.col("next").alias("node")).agg(
+            (F.min("depth") + 1).alias("depth"), F.min("node").alias("toward"))
+        fresh = cut_lineage(grown.join(seen, ["pair", "side", "node"], "left_anti"))
+        other = seen.select("pair", "node", F.expr("if(side = 'f', 'b', 'f')").alias("side"), F.col("depth").alias("opposite"))
+        met = cut_lineage(fresh.join(other, ["pair", "side", "node"]).select(
+            "pair", "node", F.expr("if(side = 'f', depth, opposite)").alias("depth"), F.expr("depth + opposite").alias("length")))
+        seen = seen.unionByName(fresh)
+        meets = met if meets is None else meets.unionByName(met)
+        waiting = due.filter("side <> turn").drop("turn").unionByName(fresh)
+        frontier = cut_lineage(waiting.join(met.select("pair"), "pair", "left_anti"))
+        length += 1
+        if length % SEEN_PER_CUT == 0:
+            seen = cut_lineage(seen)
+    same = named.filter("root = target").select("root", "target", F.lit(0).alias("position"), F.col("root").alias("node"))
+    if meets is None:
+        return same
+    seen, meets = cut_lineage(seen), cut_lineage(meets)
+    lengths = meets.select("pair", "length").distinct()
+    # From the meeting nodes back to the root: every node there on a shortest path, with its least follower.
+    back, forth = steps.filter("side = 'b'").select("at", F.col("next").alias("prior")), seen.filter("side = 'f'").select("pair", F.col("node").alias("prior"), F.col("depth").alias("prior_depth"))
+    marked, pointers = meets.select("pair", "node", "depth"), seen.filter("side = 'b' AND toward IS NOT NULL").select("pair", "node", F.col("toward").alias("next"))
+    pointers = pointers.join(lengths.select("pair"), "pair", "left_semi")
+    while not marked.isEmpty():
+        step, found = marked, None
+        for hop in range(1, hops_per_round + 1):
+            step = step.filter("depth > 0").join(back, F.col("node") == F.col("at")).join(forth, ["pair", "prior"]).filter("prior_depth = depth - 1").groupBy(
+                "pair", F.col("prior").alias("node")).agg(F.min("node").alias("next"), F.min("prior_depth").alias("depth"))
+            at = step.withColumn("hop", F.lit(hop))
+            found = at if found is None else found.unionByName(at)
+        found = cut_lineage(found)
+        pointers = pointers.unionByName(found.select("pair", "node", "next"))
+        marked = found.filter(F.col("hop") == hops_per_round).select("pair", "node", "depth")
+    pointers = cut_lineage(pointers)
+    walk = cut_lineage(named.join(lengths, "pair").select("pair", F.lit(0).alias("position"), F.col("root").alias("node"), "length"))
+    read = walk
+    while not walk.isEmpty():
+        step, found = walk, None
+        for hop in range(1, hops_per_round + 1):
+            step = step.filter("position < length").join(pointers, ["pair", "node"]).select("pair", (F.col("position") + 1).alias("position"), F.col("next").alias("node"), "length")
+            at = step.withColumn("hop", F.lit(hop))
+            found = at if found is None else found.unionByName(at)
+        found = cut_lineage(found)
+        read = read.unionByName(found.drop("hop"))
+        walk = found.filter((F.col("hop") == hops_per_round) & (F.col("position") < F.col("length"))).drop("hop")
+    return read.join(named, "pair").select("root", "target", "position", "node").unionByName(same)
+
+
+def shortest_path_between(edges: DataFrame, pairs: DataFrame, undirected: bool = False, max_nodes: int | None = None) -> DataFrame:
+    """(root, target, depth, path) of one shortest path of each (root, target) pair; see ``shortest_path_nodes``."""
+    nodes = shortest_path_nodes(edges, pairs, undirected, max_nodes)
+    return nodes.groupBy("root", "target").agg(
+        F.max("position").alias("depth"), F.sort_array(F.collect_list(F.struct("position", "node")))["node"].alias("path"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.ordered import running_moments, top_rows
+from weftline.operators.components import require_acyclic
 from weftline.operators.traversal import HOPS_PER_ROUND, reach, roots_of, stored_flow
 from weftline.session import cut_lineage
 
@@ -87,11 +88,11 @@ def trust_scores(edges: DataFrame, reports: DataFrame, hops_per_round: int = HOP
 
     Every path counts, so a node met on two paths weighs twice. The sum over all paths of one length into a node is the
     sum of its parents' sums over paths one shorter, so a round carries two numbers for each node and no ancestors.
-    ``reports`` is (id, passed). Nodes of the graph without a report score 0.5; the graph must be acyclic.
+    ``reports`` is (id, passed). Nodes of the graph without a report score 0.5; a cycle raises before the first step.
     """
     pairs = stored_flow(edges, "upstream")
     judged = cut_lineage(reports.select("id", F.when(F.col("passed"), 1.0).otherwise(0.0).alias("own")))
-    limit = pairs.selectExpr("explode(array(src, dst)) AS id").distinct().count()
+    require_acyclic(pairs)
     walk = judged.select(F.col("id").alias("node"), F.col("own").alias("good"), F.lit(1.0).alias("paths"))
     sums, depth = None, 0
     while True:
@@ -108,8 +109,6 @@ def trust_scores(edges: DataFrame, reports: DataFrame, hops_per_round: int = HOP
         walk = found.filter(F.col("depth") == depth).drop("depth")
         if walk.isEmpty():
             break
-        if depth > limit:
-            raise ValueError("the graph has a cycle")
     totals = sums.groupBy("id").agg(F.sum("good").alias("good"), F.sum("weight").alias("weight"))
     ids = edges.selectExpr("explode(array(src, dst)) AS id").distinct().join(judged, "id", "full").join(totals, "id", "left")
     blended = 0.6 * F.col("own") + 0.4 * F.col("good") / F.col("weight")

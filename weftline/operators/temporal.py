@@ -23,19 +23,44 @@ def active_at(versions: DataFrame, at: Column) -> DataFrame:
     return versions.filter((F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (at <= F.col("valid_to"))))
 
 
-def active_at_each(versions: DataFrame, times: DataFrame, unit: str = "day") -> DataFrame:
-    """(at, src, dst) for every instant of ``times`` (at) inside an edge's validity.
+#: The span of the instants is cut into 2 ** BIN_LEVELS bins, and those are joined by twos up to one.
+BIN_LEVELS = 20
 
-    Intervals and instants meet on a calendar bucket, so only instants of the same bucket
-    are compared instead of every instant with every interval.
+
+def tree_cover(intervals: DataFrame, levels: int) -> DataFrame:
+    """``intervals`` with a row for each (level, bin) that covers the bins from ``first`` to ``last``; two on a level at most."""
+    # On level k the cover reaches from ceil(first / 2^k) to floor((last + 1) / 2^k); odd borders are bins of that level.
+    low, high = "(first + shiftleft(1L, k) - 1) div shiftleft(1L, k)", "(last + 1) div shiftleft(1L, k)"
+    borders = f"""array(named_struct('bin', {low}, 'take', ({low}) % 2 = 1 AND {low} < {high}), named_struct('bin', {high} - 1, 'take', ({high}) % 2 = 1 AND {low} < {high}))"""
+    cover = f"flatten(transform(sequence(0, {levels + 1}), k -> transform(filter({borders}, b -> b.take), b -> named_struct('level', k, 'bin', b.bin))))"
+    return intervals.select("*", F.expr(f"inline({cover})"))
+
+
+def active_at_each(versions: DataFrame, times: DataFrame, levels: int = BIN_LEVELS) -> DataFrame:
+    """(at, src, dst) for every instant of ``times`` (at) inside an edge's validity; both ends count, an open end never ends.
+
+    Intervals and instants meet on the bins of a binary tree over the span of the instants. An interval is the
+    fewest bins that cover it, two on a level at most, so a long one costs a row or two more for each doubling of its length; an instant has
+    one bin on each level. Only the outermost bins hold instants beside the interval, which the comparison drops.
     """
-    step = F.expr(f"INTERVAL 1 {unit}")
-    last = times.agg(F.max("at")).scalar()
-    buckets = versions.withColumn("ends", F.least(F.coalesce("valid_to", last), last)).filter("valid_from <= ends").withColumn(
-        "bucket", F.explode(F.sequence(F.date_trunc(unit, "valid_from"), F.date_trunc(unit, "ends"), step)))
-    marks = times.select("at", F.date_trunc(unit, "at").alias("bucket"))
-    return buckets.join(marks, "bucket").filter("valid_from <= at AND (valid_to IS NULL OR at <= valid_to)").select(
-        "at", "src", "dst").distinct()
+    def micros(column: str) -> Column:
+        return F.unix_micros(F.col(column).cast("timestamp"))
+
+    span = times.agg(F.min(micros("at")).alias("low"), F.max(micros("at")).alias("high")).first()
+    if span.low is None:
+        return times.select("at", F.lit("").alias("src"), F.lit("").alias("dst")).limit(0)
+    width = max(1, -(-(span.high - span.low + 1) >> levels))
+    low, high = F.lit(span.low), F.lit(span.high)
+
+    def bin_of(at: Column) -> Column:
+        return F.floor((at - low) / F.lit(width)).cast("long")
+
+    starts, ends = F.greatest(micros("valid_from"), low), F.least(F.coalesce(micros("valid_to"), high), high)
+    held = versions.withColumn("starts", starts).withColumn("ends", ends).filter("starts <= ends")
+    covered = tree_cover(held.select("src", "dst", "valid_from", "valid_to", bin_of(F.col("starts")).alias("first"), bin_of(F.col("ends")).alias("last")), levels)
+    marks = times.select("at").distinct().withColumn("_bin", bin_of(micros("at"))).select(
+        "at", F.explode(F.sequence(F.lit(0), F.lit(levels + 1))).alias("level"), "_bin").select("at", "level", F.expr("_bin div shiftleft(1L, level)").alias("bin"))
+    return covered.join(marks, ["level", "bin"]).filter("valid_from <= at AND (valid_to IS NULL OR at <= valid_to)").select("at", "src", "dst").distinct()
 
 
 def graph_diff(before: DataFrame, after: DataFrame) -> DataFrame:

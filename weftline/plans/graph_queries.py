@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftline.operators import centrality, paths, topology, traversal
+from weftline.operators import centrality, communities, components, paths, topology, traversal
 from weftline.plans.registry import query
 from weftline.session import cut_lineage
 
@@ -149,30 +149,70 @@ def g11_limit(t):
 
 
 _UND = "SELECT src, dst FROM edges UNION SELECT dst, src FROM edges"
-_UND_WALK = """SELECT src AS root, dst AS node, 1 AS depth FROM und_links WHERE src NOT IN (SELECT dst FROM edges)
-    UNION SELECT w.root, e.dst, w.depth + 1 FROM und_walk w JOIN und_links e ON e.src = w.node WHERE w.depth < 4"""
+_UND_WALK = """(root, node, depth) USING KEY (root, node) AS (SELECT DISTINCT src, src, 0 FROM edges WHERE src NOT IN (SELECT dst FROM edges)
+    UNION SELECT DISTINCT w.root, e.dst, w.depth + 1 FROM und_walk w JOIN und_links e ON e.src = w.node
+    WHERE NOT EXISTS (SELECT 1 FROM recurring.und_walk r WHERE r.root = w.root AND r.node = e.dst))"""
 
 
-@query("g11_shortest_path_undirected", "SELECT root, node, min(depth) AS depth FROM und_walk WHERE root <> node GROUP BY root, node",
-       und_links=_UND, und_walk=_UND_WALK)
+@query("g11_shortest_path_undirected", "SELECT root, node, depth FROM und_walk WHERE depth > 0", und_links=_UND, und_walk=_UND_WALK)
 def g11_undirected(t):
     edges, nodes = t.graph
     return paths.shortest_paths(edges, source_datasets(t), undirected=True).select("root", "node", "depth")
 
 
+def dataset_pairs(t):
+    """The final datasets that each source reaches, and a final dataset for each dataset, most of which it can't reach."""
+    nodes = t.graph[1].filter("type = 'dataset'").selectExpr("id AS root", "CAST(split_part(id, '_', 3) AS BIGINT) AS n")
+    others = nodes.selectExpr("root", f"'ds_5_' || ((n div 5 * 5 + 2 + n % 2) % {24 * t.scale}) AS target")
+    return source_to_final(t).select("root", "target").unionByName(others).distinct()
+
+
+_PAIRS = """SELECT root, node AS target FROM down WHERE node NOT IN (SELECT src FROM edges) UNION SELECT id, 'ds_5_' || ((n // 5 * 5 + 2 + n % 2) % (24 * s))
+    FROM (SELECT id, CAST(split_part(id, '_', 3) AS BIGINT) AS n FROM nodes WHERE type = 'dataset'), sc"""
+# How far every node is from each wanted target, then from each root the least name that is one nearer.
+_FAR = """(target, node, depth) USING KEY (target, node) AS (SELECT DISTINCT target, target, 0 FROM wanted WHERE target IN (SELECT id FROM nodes)
+    UNION SELECT DISTINCT w.target, e.src, w.depth + 1 FROM far w JOIN {links} e ON e.dst = w.node
+    WHERE NOT EXISTS (SELECT 1 FROM recurring.far r WHERE r.target = w.target AND r.node = e.src))"""
+_NEARER = """SELECT a.target, a.node, min(e.dst) AS next FROM far a JOIN {links} e ON e.src = a.node
+    JOIN far b ON b.target = a.target AND b.node = e.dst AND b.depth = a.depth - 1 GROUP BY ALL"""
+_READ = """SELECT w.root, w.target, f.depth, w.root AS node, [w.root] AS path FROM wanted w JOIN far f ON f.target = w.target AND f.node = w.root
+    UNION ALL SELECT r.root, r.target, r.depth, n.next, list_append(r.path, n.next) FROM read_off r JOIN nearer n ON n.target = r.target AND n.node = r.node"""
+_BETWEEN = "SELECT root, target, CAST(depth AS INTEGER) AS depth, array_to_string(path, '>') AS path FROM read_off WHERE node = target"
+
+
+@query("g11_shortest_path_between", _BETWEEN, wanted=_PAIRS, far=_FAR.format(links="edges"), nearer=_NEARER.format(links="edges"), read_off=_READ)
+def g11_between(t):
+    return paths.shortest_path_between(t.graph[0], dataset_pairs(t)).select("root", "target", "depth", joined("path"))
+
+
+@query("g11_shortest_path_between_undirected", _BETWEEN, wanted=_PAIRS, und_links=_UND, far=_FAR.format(links="und_links"), nearer=_NEARER.format(links="und_links"), read_off=_READ)
+def g11_between_undirected(t):
+    return paths.shortest_path_between(t.graph[0], dataset_pairs(t), undirected=True).select("root", "target", "depth", joined("path"))
+
+
 @query("g12_dag_check", "SELECT count(*) = 0 AS is_dag FROM all_walk WHERE ancestor = descendant")
 def g12(t):
     return paths.cycle_members(t.graph[0]).agg((F.count("*") == 0).alias("is_dag"))
 
 
+def with_retries(t):
+    """The graph with an edge from the output of a failed run back to its job."""
+    retries = t.runs().filter("state = 'FAIL'").selectExpr("out_a AS src", "job_name AS dst").distinct()
+    return t.graph[0].select("src", "dst").unionByName(retries)
+
+
 _LOOPED = "SELECT src, dst FROM edges UNION SELECT out_a, job_name FROM ol WHERE state = 'FAIL'"
 _LOOP_WALK = """SELECT src AS a, dst AS b FROM looped UNION SELECT w.a, e.dst FROM loop_walk w JOIN looped e ON e.src = w.b"""
 
 
+@query("g12_strong_components", """SELECT a.a AS node, min(a.b) AS component FROM loop_walk a JOIN loop_walk b ON b.a = a.b AND b.b = a.a GROUP BY a.a""", looped=_LOOPED, loop_walk=_LOOP_WALK)
+def g12_components(t):
+    return components.strong_components(with_retries(t))
+
+
 @query("g12_cycle_members", "SELECT a AS node FROM loop_walk WHERE a = b", looped=_LOOPED, loop_walk=_LOOP_WALK)
 def g12_members(t):
-    retries = t.runs().filter("state = 'FAIL'").selectExpr("out_a AS src", "job_name AS dst").distinct()
-    return paths.cycle_members(t.graph[0].select("src", "dst").unionByName(retries))
+    return paths.cycle_members(with_retries(t))
 
 
 _LEVEL = """SELECT id AS node, 0 AS hops FROM nodes WHERE id NOT IN (SELECT dst FROM edges)
@@ -300,6 +340,12 @@ def g21_communities(t):
     return centrality.communities(t.graph[0])
 
 
+@query("g21_louvain")
+def g21_louvain(t):
+    """Communities of the greatest modularity that local moves reach; tests hold it against the best partition of small graphs."""
+    return communities.louvain(t.graph[0])
+
+
 @query("g22_bipartite_check", "SELECT src, dst, 'dataset' AS type FROM (SELECT DISTINCT in_a AS src, out_a AS dst FROM ol UNION SELECT src, dst FROM edges) WHERE src LIKE 'ds_%' AND dst LIKE 'ds_%'")
 def g22(t):
     edges, nodes = t.graph

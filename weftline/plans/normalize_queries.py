@@ -61,9 +61,24 @@ def p08(t):
     return catalog.search(t.nodes(), "S_1_", ["id", "namespace"])
 
 
-@query("p09_search_page", "SELECT id, type, namespace, count(*) OVER () AS total FROM nodes WHERE contains(lower(id), '_1') ORDER BY type, id LIMIT 10")
+_DESCRIBED = """SELECT id, type, namespace, id AS name, CASE WHEN type = 'dataset' THEN 'Table of layer ' || split_part(id, '_', 2) || ', written by job_1' ELSE 'Loads layer ' || split_part(id, '_', 2) END AS description FROM nodes"""
+_PAGE = """SELECT id, type, name, namespace, description, count(*) OVER () AS total FROM described WHERE (contains(lower(name), '{text}') OR contains(lower(description), '{text}')){kind} ORDER BY type, id LIMIT {limit}"""
+
+
+def described(t):
+    """Nodes with a description; a word can be in the name of some and in the description of others."""
+    layer = "split_part(id, '_', 2)"
+    return t.nodes().selectExpr("id", "type", "namespace", "id AS name", f"CASE WHEN type = 'dataset' THEN 'Table of layer ' || {layer} || ', written by job_1' ELSE 'Loads layer ' || {layer} END AS description")
+
+
+@query("p09_search_page", _PAGE.format(text="job_1", kind="", limit=400), described=_DESCRIBED)
 def p09(t):
-    return catalog.search_page(t.nodes(), "_1", ["id"])
+    return catalog.search_page(described(t), "JOB_1", ["name", "description"], limit=400).select("id", "type", "name", "namespace", "description", "total")
+
+
+@query("p09_search_page_of_kind", _PAGE.format(text="layer 2", kind=" AND type = 'job'", limit=10), described=_DESCRIBED)
+def p09_kind(t):
+    return catalog.search_page(described(t), "Layer 2", ["name", "description"], kind="job", limit=10).select("id", "type", "name", "namespace", "description", "total")
 
 
 _TAGGED = "SELECT dataset AS id, dataset AS name, 'team ' || layer AS description, list_sort(list(DISTINCT column_name)) AS tags FROM dataset_columns GROUP BY dataset, layer"

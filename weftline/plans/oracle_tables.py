@@ -117,7 +117,10 @@ CTES: dict[str, str] = {
 
 
 def with_tables(body: str, **extra: str) -> str:
-    """Prefix ``body`` with the CTEs it names, directly or through other CTEs."""
+    """Prefix ``body`` with the CTEs it names, directly or through other CTEs.
+
+    A CTE that keeps one row for each key while it recurs starts with its columns and key: ``(a, b) USING KEY (a) AS (SELECT …)``.
+    """
     known = {**CTES, **extra}
     ordered: list[str] = []
 
@@ -131,4 +134,5 @@ def with_tables(body: str, **extra: str) -> str:
     visit(body, ())
     if not ordered:
         return body
-    return "WITH RECURSIVE " + ",\n".join(f"{name} AS ({known[name]})" for name in ordered) + "\n" + body
+    said = [f"{name}{known[name]}" if " USING KEY " in known[name] else f"{name} AS ({known[name]})" for name in ordered]
+    return "WITH RECURSIVE " + ",\n".join(said) + "\n" + body

@@ -94,13 +94,14 @@ def w04(t):
 
 
 @query("w05_run_states", """SELECT run_id, arg_max(state, ts) AS state, coalesce(strftime(min(ts) FILTER (state = 'START'), '%Y-%m-%d %H:%M:%S'), '') AS started_at,
-    coalesce(strftime(max(ts) FILTER (state IN ('COMPLETE', 'FAIL', 'ABORT')), '%Y-%m-%d %H:%M:%S'), '') AS ended_at FROM ol GROUP BY run_id""")
+    coalesce(strftime(max(ts) FILTER (state IN ('COMPLETE', 'FAIL', 'ABORT')), '%Y-%m-%d %H:%M:%S'), '') AS ended_at,
+    coalesce((epoch_us(max(ts) FILTER (state IN ('COMPLETE', 'FAIL', 'ABORT'))) - epoch_us(min(ts) FILTER (state = 'START'))) // 1000, -1) AS duration_ms FROM ol GROUP BY run_id""")
 def w05(t):
     from weftline.sources.run_events import run_states
 
     states = run_states(t.runs())
     text = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("")).alias(c)
-    return states.select("run_id", "state", text("started_at"), text("ended_at"))
+    return states.select("run_id", "state", text("started_at"), text("ended_at"), F.coalesce("duration_ms", F.lit(-1)).alias("duration_ms"))
 
 
 @query("w05_latest_job_state", "SELECT job_name, arg_max(state, ts) AS latest_run_state, max(ts) AS latest_run_at FROM ol GROUP BY job_name")

@@ -39,11 +39,19 @@ def s03(t):
     return inspect.inspect_table(t.read("lineitem"))
 
 
-@query("s04_csv_inspect", "SELECT 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS columns, 'string' AS column_type, count(*) AS row_count FROM customer")
+_CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+@query("s04_csv_inspect", f"""SELECT '{",".join(_CUSTOMER)}' AS columns, 'string' AS column_type, count(*) AS row_count, sum(strlen({" || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in _CUSTOMER)}) + 1)::BIGINT AS body_bytes,
+    true AS named, true AS timed FROM customer""")
 def s04(t):
     path = scratch_path(t.spark, "csv")
     t.read("customer").write.option("header", True).csv(path)
-    return inspect.inspect_csv(t.spark, path).groupBy("columns", "column_type").agg(F.sum("row_count").alias("row_count"))
+    files = inspect.inspect_csv(t.spark, path)
+    # How many files there are is up to the writer: sizes are compared without their header lines.
+    return files.groupBy("columns", "column_type").agg(
+        F.sum("row_count").alias("row_count"), F.sum(F.col("file_size") - F.octet_length("columns") - 1).alias("body_bytes"),
+        F.bool_and(F.col("file_name").rlike(r"^part-.*\.csv$")).alias("named"), F.bool_and(F.col("modified_at").between(F.expr("current_timestamp() - INTERVAL 1 DAY"), F.current_timestamp())).alias("timed"))
 
 
 @query("s05_json_schema_inference", """SELECT key, CASE WHEN json_type(props, '$.' || key) IN ('UBIGINT', 'BIGINT') THEN 'int' WHEN json_type(props, '$.' || key) = 'VARCHAR' THEN 'str' ELSE 'float' END AS value_type,
@@ -251,53 +259,112 @@ def s24(t):
         F.array(emitters.dataset("obs", F.col("out_a"), dataQualityMetrics=metrics("ko")))).alias("event"))
 
 
-@query("s25_consumer_event", """SELECT consumer, '{"eventType":"RUNNING","eventTime":"' || strftime(mt, '%Y-%m-%dT%H:%M:%S.%f') || '","job":{"namespace":"kafka://cluster","name":"' || consumer ||
-    '","facets":{"jobType":{"processingType":"STREAMING","integration":"KAFKA","jobType":"CONSUMER_GROUP"}}},"run":{"runId":"' || consumer || '-streaming","facets":{"streaming":{"topic_partitions":{"' || in_a || '":{"lag":0,"offset":-1}}}}},"inputs":[{"namespace":"kafka://cluster","name":"' || in_a || '"}],"outputs":[{"namespace":"kafka://cluster","name":"' || out_a || '"}]}' AS event
-    FROM (SELECT job_name AS consumer, in_a, out_a, max(ts) AS mt FROM ol GROUP BY ALL)""")
-def s25(t):
-    groups = t.runs().groupBy(F.col("job_name").alias("consumer"), "in_a", "out_a").agg(F.max("ts").alias("mt"))
-    offsets = F.create_map("in_a", F.struct(F.lit(0).alias("lag"), F.lit(-1).alias("offset")))
+# Fixed values of the event builders below: namespaces, integrations, job types and frameworks.
+CLUSTER, TRAINING, WAREHOUSE, MODEL_STORE = "kafka://cluster-prod", "ml://training", "warehouse://prod", "mlflow://models"
+FINE_TUNING, LANGUAGE_MODELS, TRAINING_DATA, PRODUCTION = "llm://fine-tuning", "llm://models", "storage://training-data", "spark://production"
+CONSUMER_JOB, TRAINING_JOB, TUNING_JOB = ("STREAMING", "KAFKA", "CONSUMER_GROUP"), ("BATCH", "MLFLOW", "ML_TRAINING"), ("BATCH", "LLM_FINE_TUNE", "FINE_TUNING")
+
+
+def _job_sql(kind: tuple[str, str, str]) -> str:
+    return '{"jobType":{"processingType":"%s","integration":"%s","jobType":"%s"}}' % kind
+
+
+def consumer_events(t):
+    """One event for each consumer group with all its topics."""
+    topics = lambda c: F.sort_array(F.collect_set(c))
+    read = t.runs().select(F.col("job_name").alias("consumer"), F.explode(F.array("in_a", "in_b")).alias("topic"), F.lit(None).cast("string").alias("written"), "ts")
+    both = read.unionByName(t.runs().select(F.col("job_name").alias("consumer"), F.lit(None).cast("string").alias("topic"), F.col("out_a").alias("written"), "ts"))
+    # A group reads and writes the topics of its job: a handful.
+    groups = both.groupBy("consumer").agg(topics("topic").alias("inputs"), topics("written").alias("outputs"), F.max("ts").alias("mt"))
+    entries = lambda c: F.transform(c, lambda x: emitters.dataset(CLUSTER, x))
+    offsets = F.map_from_entries(F.transform("inputs", lambda x: F.struct(x, F.struct(F.lit(0).alias("lag"), F.lit(-1).alias("offset")))))
     return groups.select("consumer", emitters.run_event(
-        "RUNNING", emitters.event_time("mt"), "kafka://cluster", F.col("consumer"), F.array(emitters.dataset("kafka://cluster", F.col("in_a"))),
-        F.array(emitters.dataset("kafka://cluster", F.col("out_a"))), run_id=F.concat("consumer", F.lit("-streaming")),
-        job_facets={"jobType": emitters.job_type("STREAMING", "KAFKA", "CONSUMER_GROUP")},
-        run_facets={"streaming": F.struct(offsets.alias("topic_partitions"))}).alias("event"))
+        "RUNNING", emitters.event_time("mt"), CLUSTER, F.col("consumer"), entries("inputs"), entries("outputs"), run_id=F.concat("consumer", F.lit("-streaming")),
+        job_facets={"jobType": emitters.job_type(*CONSUMER_JOB)}, run_facets={"streaming": F.struct(offsets.alias("topic_partitions"))}).alias("event"))
+
+
+_GROUP_TOPICS = """SELECT job_name AS consumer, side, topic FROM (SELECT job_name, 'in' AS side, in_a AS topic FROM ol UNION SELECT job_name, 'in', in_b FROM ol UNION SELECT job_name, 'out', out_a FROM ol)"""
+
+
+@query("s25_consumer_event", f"""SELECT consumer, '{{"eventType":"RUNNING","eventTime":"' || strftime(mt, '%Y-%m-%dT%H:%M:%S.%f') || '","job":{{"namespace":"{CLUSTER}","name":"' || consumer ||
+    '","facets":{_job_sql(CONSUMER_JOB)}}},"run":{{"runId":"' || consumer || '-streaming","facets":{{"streaming":{{"topic_partitions":{{' || parts || '}}}}}}}},"inputs":[' || ins || '],"outputs":[' || outs || ']}}' AS event
+    FROM (SELECT consumer, string_agg('"' || topic || '":{{"lag":0,"offset":-1}}', ',' ORDER BY topic) FILTER (side = 'in') AS parts,
+      string_agg('{{"namespace":"{CLUSTER}","name":"' || topic || '"}}', ',' ORDER BY topic) FILTER (side = 'in') AS ins,
+      string_agg('{{"namespace":"{CLUSTER}","name":"' || topic || '"}}', ',' ORDER BY topic) FILTER (side = 'out') AS outs FROM group_topics GROUP BY consumer)
+    JOIN (SELECT job_name AS consumer, max(ts) AS mt FROM ol GROUP BY job_name) USING (consumer)""", group_topics=_GROUP_TOPICS)
+def s25(t):
+    return consumer_events(t)
+
 
+_FITTED = "SELECT * FROM models JOIN (SELECT model, count(*) AS n FROM model_features GROUP BY model) USING (model)"
+_FACTS = """'{"framework":"xgboost","hyperparameters":{"max_depth":' || (3 + model_no % 6) || ',"n_estimators":' || (100 * (1 + model_no % 5)) || '},"metrics":' || metrics || '}'"""
+_METRICS = "SELECT *, '{\"features\":' || n || ',\"version\":' || version || '}' AS metrics FROM fitted"
 
-@query("s26_training_event", """SELECT model, '{"eventType":"COMPLETE","eventTime":"2024-01-01T00:00:00.000000","job":{"namespace":"ml://training","name":"' || model || '-training","facets":{"jobType":{"processingType":"BATCH","integration":"MLFLOW","jobType":"ML_TRAINING"}}},"run":{"runId":"run_' || model_no ||
-    '","facets":{"mlTraining":{"framework":"xgboost","features":' || n || '}}},"inputs":[{"namespace":"warehouse","name":"' || training_dataset || '","facets":{"dataQualityMetrics":{"rowCount":' || n || '}}}],"outputs":[{"namespace":"mlflow://models","name":"' || model || ':' || version || '","facets":{"modelMetrics":{"features":' || n || '}}}]}' AS event
-    FROM models JOIN (SELECT model, count(*) AS n FROM model_features GROUP BY model) USING (model)""")
+
+def fitted_models(t):
+    return t.models().join(t.model_features().groupBy("model").agg(F.count("*").alias("n")), "model").withColumn(
+        "metrics", F.struct(F.col("n").alias("features"), F.col("version").cast("int").alias("version")))
+
+
+def training_events(t):
+    """One event for each trained model, with its hyperparameters and metrics."""
+    settings = F.struct((3 + F.col("model_no") % 6).alias("max_depth"), (100 * (1 + F.col("model_no") % 5)).alias("n_estimators"))
+    return fitted_models(t).select("model", emitters.run_event(
+        "COMPLETE", F.lit("2024-01-01T00:00:00.000000"), TRAINING, F.concat("model", F.lit("-training")),
+        F.array(emitters.dataset(WAREHOUSE, F.col("training_dataset"), dataQualityMetrics=F.struct(F.col("n").alias("rowCount")))),
+        F.array(emitters.dataset(MODEL_STORE, F.concat_ws(":", "model", "version"), modelMetrics=F.col("metrics"))),
+        run_id=F.concat(F.lit("run_"), "model_no"), job_facets={"jobType": emitters.job_type(*TRAINING_JOB)},
+        run_facets={"mlTraining": F.struct(F.lit("xgboost").alias("framework"), settings.alias("hyperparameters"), F.col("metrics"))}).alias("event"))
+
+
+@query("s26_training_event", f"""SELECT model, '{{"eventType":"COMPLETE","eventTime":"2024-01-01T00:00:00.000000","job":{{"namespace":"{TRAINING}","name":"' || model || '-training","facets":{_job_sql(TRAINING_JOB)}}},"run":{{"runId":"run_' || model_no ||
+    '","facets":{{"mlTraining":' || {_FACTS} || '}}}},"inputs":[{{"namespace":"{WAREHOUSE}","name":"' || training_dataset || '","facets":{{"dataQualityMetrics":{{"rowCount":' || n || '}}}}}}],"outputs":[{{"namespace":"{MODEL_STORE}","name":"' || model || ':' || version || '","facets":{{"modelMetrics":' || metrics || '}}}}]}}' AS event
+    FROM measured""", fitted=_FITTED, measured=_METRICS)
 def s26(t):
-    runs = t.models().join(t.model_features().groupBy("model").agg(F.count("*").alias("n")), "model")
-    return runs.select("model", emitters.run_event(
-        "COMPLETE", F.lit("2024-01-01T00:00:00.000000"), "ml://training", F.concat("model", F.lit("-training")),
-        F.array(emitters.dataset("warehouse", F.col("training_dataset"), dataQualityMetrics=F.struct(F.col("n").alias("rowCount")))),
-        F.array(emitters.dataset("mlflow://models", F.concat_ws(":", "model", "version"), modelMetrics=F.struct(F.col("n").alias("features")))),
-        run_id=F.concat(F.lit("run_"), "model_no"), job_facets={"jobType": emitters.job_type("BATCH", "MLFLOW", "ML_TRAINING")},
-        run_facets={"mlTraining": F.struct(F.lit("xgboost").alias("framework"), F.col("n").alias("features"))}).alias("event"))
+    return training_events(t)
 
 
-@query("s26_fine_tune_event", """SELECT model, '{"eventType":"COMPLETE","eventTime":"2024-01-01T00:00:00.000000","job":{"namespace":"models://fine-tuning","name":"fine-tune-' || model_no || '","facets":{"jobType":{"processingType":"BATCH","integration":"FINE_TUNE","jobType":"FINE_TUNING"}}},"inputs":[{"namespace":"models://base","name":"base_' || nation || '"},{"namespace":"storage://training-data","name":"' || training_dataset || '","facets":{"dataQualityMetrics":{"rowCount":' || n || '}}}],"outputs":[{"namespace":"models://base","name":"' || model || '"}]}' AS event
-    FROM models JOIN (SELECT model, count(*) AS n FROM model_features GROUP BY model) USING (model)""")
-def s26_tune(t):
-    runs = t.models().join(t.model_features().groupBy("model").agg(F.count("*").alias("n")), "model")
+def tuning_events(t):
+    """One event for each fine-tuned model: base model and training data in, the model with its metrics out."""
     no_facets = F.lit(None).cast("struct<dataQualityMetrics: struct<rowCount: bigint>>")
-    base = F.struct(F.lit("models://base").alias("namespace"), F.concat(F.lit("base_"), "nation").alias("name"), no_facets.alias("facets"))
-    data = emitters.dataset("storage://training-data", F.col("training_dataset"), dataQualityMetrics=F.struct(F.col("n").alias("rowCount")))
-    return runs.select("model", emitters.run_event(
-        "COMPLETE", F.lit("2024-01-01T00:00:00.000000"), "models://fine-tuning", F.concat(F.lit("fine-tune-"), "model_no"), F.array(base, data),
-        F.array(emitters.dataset("models://base", F.col("model"))),
-        job_facets={"jobType": emitters.job_type("BATCH", "FINE_TUNE", "FINE_TUNING")}).alias("event"))
+    base = F.struct(F.lit(LANGUAGE_MODELS).alias("namespace"), F.concat(F.lit("base_"), "nation").alias("name"), no_facets.alias("facets"))
+    data = emitters.dataset(TRAINING_DATA, F.col("training_dataset"), dataQualityMetrics=F.struct(F.col("n").alias("rowCount")))
+    return fitted_models(t).select("model", emitters.run_event(
+        "COMPLETE", F.lit("2024-01-01T00:00:00.000000"), FINE_TUNING, F.concat(F.lit("fine-tune-"), "model_no"), F.array(base, data),
+        F.array(emitters.dataset(LANGUAGE_MODELS, F.col("model"), modelMetrics=F.col("metrics"))),
+        job_facets={"jobType": emitters.job_type(*TUNING_JOB)}).alias("event"))
 
 
-@query("s27_plan_event", """SELECT job_name, src_col, '{"eventType":"COMPLETE","eventTime":"2024-01-01T00:00:00.000000","job":{"namespace":"spark://production","name":"' || job_name || '","facets":{"sourceCode":{"type":"SPARK_SQL","plan":"Project [' || src_col || ']"}}},"inputs":[{"namespace":"wh","name":"' || src_ds || '"}],"outputs":[{"namespace":"wh","name":"' || dst_ds || '","facets":{"columnLineage":{"fields":{"' || dst_col || '":{"inputFields":[{"namespace":"wh","name":"' || src_ds || '","field":"' || src_col || '"}],"transformationType":"' || transformation || '"}}}}}]}' AS event FROM column_edges""")
+@query("s26_fine_tune_event", f"""SELECT model, '{{"eventType":"COMPLETE","eventTime":"2024-01-01T00:00:00.000000","job":{{"namespace":"{FINE_TUNING}","name":"fine-tune-' || model_no || '","facets":{_job_sql(TUNING_JOB)}}},"inputs":[{{"namespace":"{LANGUAGE_MODELS}","name":"base_' || nation || '"}},{{"namespace":"{TRAINING_DATA}","name":"' || training_dataset || '","facets":{{"dataQualityMetrics":{{"rowCount":' || n || '}}}}}}],"outputs":[{{"namespace":"{LANGUAGE_MODELS}","name":"' || model || '","facets":{{"modelMetrics":' || metrics || '}}}}]}}' AS event
+    FROM measured""", fitted=_FITTED, measured=_METRICS)
+def s26_tune(t):
+    return tuning_events(t)
+
+
+_PLAN_FIELDS = """SELECT job_name, dst_ds, '"' || dst_col || '":{"inputFields":[' || string_agg('{"namespace":"wh","name":"' || src_ds || '","field":"' || src_col || '"}', ',' ORDER BY src_ds, src_col) || '],"transformationType":"' || min(transformation) || '"}' AS field, dst_col
+    FROM (SELECT DISTINCT job_name, dst_ds, dst_col, src_ds, src_col, transformation FROM column_edges) GROUP BY job_name, dst_ds, dst_col"""
+_PLAN_OUTPUTS = """SELECT job_name, string_agg('{"namespace":"wh","name":"' || dst_ds || '","facets":{"columnLineage":{"fields":{' || fields || '}}}}', ',' ORDER BY dst_ds) AS outs
+    FROM (SELECT job_name, dst_ds, string_agg(field, ',' ORDER BY dst_col) AS fields FROM plan_fields GROUP BY ALL) GROUP BY job_name"""
+_PLAN_INPUTS = """SELECT job_name, array_to_string(list_sort(list(DISTINCT src_col)), ', ') AS cols, array_to_string(list_transform(list_sort(list(DISTINCT src_ds)), lambda x: '{"namespace":"wh","name":"' || x || '"}'), ',') AS ins FROM column_edges GROUP BY job_name"""
+
+
+@query("s27_plan_event", f"""SELECT job_name, '{{"eventType":"COMPLETE","eventTime":"2024-01-01T00:00:00.000000","job":{{"namespace":"{PRODUCTION}","name":"' || job_name || '","facets":{{"sourceCode":{{"type":"SPARK_SQL","plan":"Project [' || cols || ']"}}}}}},"run":{{"runId":"plan-' || job_name || '"}},"inputs":[' || ins || '],"outputs":[' || outs || ']}}' AS event
+    FROM plan_inputs JOIN plan_outputs USING (job_name)""", plan_fields=_PLAN_FIELDS, plan_outputs=_PLAN_OUTPUTS, plan_inputs=_PLAN_INPUTS)
 def s27(t):
+    """One event for each plan: its inputs, and its outputs with all columns."""
+    edges = t.column_edges()
+    # Lists are as long as a job has columns and datasets.
     source = F.struct(F.lit("wh").alias("namespace"), F.col("src_ds").alias("name"), F.col("src_col").alias("field"))
-    fields = F.create_map("dst_col", F.struct(F.array(source).alias("inputFields"), F.col("transformation").alias("transformationType")))
-    code = F.struct(F.lit("SPARK_SQL").alias("type"), F.concat(F.lit("Project ["), "src_col", F.lit("]")).alias("plan"))
-    return t.column_edges().select("job_name", "src_col", emitters.run_event(
-        "COMPLETE", F.lit("2024-01-01T00:00:00.000000"), "spark://production", F.col("job_name"), F.array(emitters.dataset("wh", F.col("src_ds"))),
-        F.array(emitters.dataset("wh", F.col("dst_ds"), columnLineage=F.struct(fields.alias("fields")))), job_facets={"sourceCode": code}).alias("event"))
+    fields = edges.groupBy("job_name", "dst_ds", "dst_col").agg(
+        F.struct(F.sort_array(F.collect_set(source)).alias("inputFields"), F.min("transformation").alias("transformationType")).alias("field"))
+    tables = fields.groupBy("job_name", "dst_ds").agg(F.sort_array(F.collect_list(F.struct("dst_col", "field"))).alias("fields"))
+    written = tables.groupBy("job_name").agg(F.sort_array(F.collect_list(F.struct("dst_ds", "fields"))).alias("written"))
+    read = edges.groupBy("job_name").agg(F.sort_array(F.collect_set("src_ds")).alias("read"), F.sort_array(F.collect_set("src_col")).alias("cols"))
+    outputs = F.transform("written", lambda w: emitters.dataset("wh", w["dst_ds"], columnLineage=F.struct(F.map_from_entries(w["fields"]).alias("fields"))))
+    code = F.struct(F.lit("SPARK_SQL").alias("type"), F.concat(F.lit("Project ["), F.concat_ws(", ", "cols"), F.lit("]")).alias("plan"))
+    return read.join(written, "job_name").select("job_name", emitters.run_event(
+        "COMPLETE", F.lit("2024-01-01T00:00:00.000000"), PRODUCTION, F.col("job_name"), F.transform("read", lambda x: emitters.dataset("wh", x)), outputs,
+        run_id=F.concat(F.lit("plan-"), "job_name"), job_facets={"sourceCode": code}).alias("event"))
 
 
 @query("s28_domain_run_event", """SELECT event_id, '{"eventType":"' || state || '","eventTime":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","job":{"namespace":"acme://d' || layer || '","name":"' || job_name || '"},"inputs":[{"namespace":"acme","name":"acme://d' || layer || '.prod/' || in_a || '"}],"outputs":[{"namespace":"acme","name":"acme://d' || layer || '.prod/' || out_a || '"}]}' AS event FROM ol""")
@@ -333,3 +400,37 @@ def s31(t):
     versions = t.change_stream().selectExpr("key", "event_id div 100 AS version", "event_id", "operation = 'DELETE' AS deleted", "value")
     half = t.read("events").agg(F.expr("max(event_id) div 200 AS half"))
     return inspect.table_history(versions, half.scalar(), ["key"], "event_id").select("key", "version", "value", "event_id")
+
+
+def written_events(t):
+    """Events of several builders in JSON files, read back with every facet."""
+    from weftline.plans.stream_queries import changes
+    from weftline.streaming.lineage import change_events
+
+    changed = change_events(changes(t.read("events")), "shop", "public.users", "cdc.public.users")
+    path = scratch_path(t.spark, "events")
+    for events in (s24(t), training_events(t), tuning_events(t), consumer_events(t), changed):
+        events.select(F.col("event").alias("value")).write.mode("append").text(path)
+    return run_events.well_formed(run_events.read_run_events(t.spark, path, all_facets=True))
+
+
+_FACETS = f"""SELECT 'obs' AS job_namespace, stage AS job, 'input' AS owner, 'obs/' || in_a AS id, 'dataQualityMetrics' AS facet, '{{"rowCount":' || ki || '}}' AS body FROM observed
+    UNION ALL SELECT 'obs', stage, 'output', 'obs/' || out_a, 'dataQualityMetrics', '{{"rowCount":' || ko || '}}' FROM observed
+    UNION ALL SELECT '{TRAINING}', model || '-training', 'run', 'run_' || model_no, 'mlTraining', {_FACTS} FROM measured
+    UNION ALL SELECT '{TRAINING}', model || '-training', 'job', '{TRAINING}/' || model || '-training', 'jobType', '{{"integration":"{TRAINING_JOB[1]}","jobType":"{TRAINING_JOB[2]}","processingType":"{TRAINING_JOB[0]}"}}' FROM measured
+    UNION ALL SELECT '{TRAINING}', model || '-training', 'input', '{WAREHOUSE}/' || training_dataset, 'dataQualityMetrics', '{{"rowCount":' || n || '}}' FROM measured
+    UNION ALL SELECT '{TRAINING}', model || '-training', 'output', '{MODEL_STORE}/' || model || ':' || version, 'modelMetrics', metrics FROM measured
+    UNION ALL SELECT '{FINE_TUNING}', 'fine-tune-' || model_no, 'job', '{FINE_TUNING}/fine-tune-' || model_no, 'jobType', '{{"integration":"{TUNING_JOB[1]}","jobType":"{TUNING_JOB[2]}","processingType":"{TUNING_JOB[0]}"}}' FROM measured
+    UNION ALL SELECT '{FINE_TUNING}', 'fine-tune-' || model_no, 'input', '{TRAINING_DATA}/' || training_dataset, 'dataQualityMetrics', '{{"rowCount":' || n || '}}' FROM measured
+    UNION ALL SELECT '{FINE_TUNING}', 'fine-tune-' || model_no, 'output', '{LANGUAGE_MODELS}/' || model, 'modelMetrics', metrics FROM measured
+    UNION ALL SELECT '{CLUSTER}', consumer, 'job', '{CLUSTER}/' || consumer, 'jobType', '{{"integration":"{CONSUMER_JOB[1]}","jobType":"{CONSUMER_JOB[2]}","processingType":"{CONSUMER_JOB[0]}"}}' FROM (SELECT DISTINCT consumer FROM group_topics)
+    UNION ALL SELECT '{CLUSTER}', consumer, 'run', consumer || '-streaming', 'streaming', '{{"topic_partitions":{{' || string_agg('"' || topic || '":{{"lag":0,"offset":-1}}', ',' ORDER BY topic) || '}}}}' FROM group_topics WHERE side = 'in' GROUP BY consumer
+    UNION ALL SELECT 'cdc://shop', 'debezium.public.users', 'job', 'cdc://shop/debezium.public.users', 'jobType', '{{"integration":"DEBEZIUM","jobType":"CDC_CONNECTOR","processingType":"STREAMING"}}' FROM change_stream
+    UNION ALL SELECT 'cdc://shop', 'debezium.public.users', 'input', 'postgres://shop/public.users', 'lifecycleStateChange', '{{"lifecycleStateChange":"' || operation || '"}}' FROM change_stream"""
+_OBSERVED = "SELECT job_name AS stage, in_a, out_a, sum(k)::BIGINT AS ki, count(*) AS ko FROM ol GROUP BY ALL"
+
+
+@query("s01_all_facets", _FACETS, observed=_OBSERVED, fitted=_FITTED, measured=_METRICS, group_topics=_GROUP_TOPICS)
+def s01_facets(t):
+    """Every facet of every event, whatever its name."""
+    return run_events.facets(written_events(t))

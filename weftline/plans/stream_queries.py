@@ -25,10 +25,26 @@ def derive_runs(t, stream):
         f"'ds_' || (layer + 1) || '_' || ((job_no * 13 + run_no % 2) % {datasets}) AS out_a")
 
 
-def drained(t, stream, mode="append", transform=None, label="stream"):
+PARTS = 6
+# The days of the events in five parts by time; a seventh arrives one part late, a ninth arrives again with the next part.
+_PART = "least((day(ts) - 1) div 6, 4)"
+_LATE, _AGAIN = "event_id % 7 = 3", "event_id % 9 = 4"
+
+
+def arrivals(t, late: bool = False, again: bool = False):
+    """The events as a stream of several batches, in the order of their days but for late and repeated ones."""
+    events = t.read("events").withColumn("part", F.expr(f"CAST({_PART} + {f'if({_LATE}, 1, 0)' if late else '0'} AS INT)"))
+    if again:
+        events = events.unionByName(events.filter(_AGAIN).withColumn("part", F.col("part") + 1))
+    path, files = scratch_path(t.spark, "arrivals"), max(1, t.scale // 100)
+    sources.write_arrivals(events, "part", PARTS, files, path)
+    return sources.file_stream(t.spark, path, files_per_batch=files)
+
+
+def drained(t, stream, mode="append", transform=None, label="stream", **options):
     """Run the stream to its end and return (batches, finished query)."""
     path, checkpoint = scratch_path(t.spark, label), scratch_path(t.spark, f"{label}-state")
-    done = sinks.finish(sinks.start(stream, path, checkpoint, mode, transform))
+    done = sinks.finish(sinks.start(stream, path, checkpoint, mode, transform, **options))
     return t.spark.read.option("basePath", path).parquet(f"{path}/batch_id=*"), done
 
 
@@ -80,18 +96,26 @@ def t05(t):
     return drained(t, once)[0].groupBy("run_id", "state").agg(F.count("*").alias("n"))
 
 
-@query("t06_stream_graph_ingest", "SELECT src, dst, type, count(*) AS n_events FROM (SELECT DISTINCT event_id, src, dst, type FROM elog) GROUP BY src, dst, type")
+@query("t06_stream_graph_ingest", """SELECT src, dst, type, count(*) AS n_events FROM (SELECT DISTINCT run_id, state, in_a, in_b, job_name, out_a FROM ol) o,
+    LATERAL (SELECT in_a AS src, job_name AS dst, 'CONSUMED_BY' AS type UNION ALL SELECT in_b, job_name, 'CONSUMED_BY' UNION ALL SELECT job_name, out_a, 'PRODUCED_BY') GROUP BY src, dst, type""")
 def t06(t):
-    batches, _ = drained(t, derive_runs(t, events(t)), transform=lambda b: lineage.batch_edges(b, ["event_id"]))
+    """An event counts once for each run and state, also when it comes again in a later batch."""
+    once = lineage.drop_repeats(derive_runs(t, arrivals(t, again=True)), ["run_id", "state"], "14 days")
+    batches, _ = drained(t, once, transform=lineage.batch_edges)
     return lineage.merged_edges(batches).select("src", "dst", "type", "n_events")
 
 
-@query("t07_run_lifecycle", """SELECT run_id, arg_max(state, ts) AS state, coalesce(strftime(min(ts) FILTER (state = 'START'), '%Y-%m-%d %H:%M:%S'), '') AS started_at,
-    coalesce(strftime(max(ts) FILTER (state IN ('COMPLETE', 'FAIL', 'ABORT')), '%Y-%m-%d %H:%M:%S'), '') AS ended_at, count(*) AS n_events FROM ol GROUP BY run_id""")
+_CLOSING = """SELECT run_id, arg_max(state, (ts, event_id)) AS state, coalesce(strftime(min(ts) FILTER (state = 'START'), '%Y-%m-%d %H:%M:%S'), '') AS started_at,
+    coalesce(strftime(max(ts) FILTER (state IN ('COMPLETE', 'FAIL', 'ABORT')), '%Y-%m-%d %H:%M:%S'), '') AS ended_at, count(*) AS n_events, max(ts) AS last_at FROM ol GROUP BY run_id"""
+
+
+@query("t07_run_lifecycle", """SELECT run_id, state, started_at, ended_at, n_events, CASE WHEN ended_at <> '' AND last_at + INTERVAL 12 HOUR <= w THEN 'ended'
+    WHEN ended_at = '' AND last_at + INTERVAL 24 HOUR <= w THEN 'timed out' ELSE 'open' END AS closed
+    FROM closing, (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS w FROM events)""", closing=_CLOSING)
 def t07(t):
-    batches, _ = drained(t, lineage.run_lifecycle(derive_runs(t, events(t))), "update")
+    batches, _ = drained(t, lineage.run_lifecycle(derive_runs(t, arrivals(t))), "update", settings=sinks.ROCKSDB)
     text = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("")).alias(c)
-    return sinks.latest_rows(batches, ["run_id"]).select("run_id", "state", text("started_at"), text("ended_at"), "n_events")
+    return sinks.latest_rows(batches, ["run_id"]).select("run_id", "state", text("started_at"), text("ended_at"), "n_events", F.coalesce("closed", F.lit("open")).alias("closed"))
 
 
 @query("t08_consumer_offsets", """SELECT consumer, topic, '{' || string_agg('"' || p || '":' || o, ',' ORDER BY p) || '}' AS partition_offsets, sum(o)::BIGINT AS total_lag, sum(o)::BIGINT AS total_offset FROM (
@@ -133,9 +157,32 @@ def t11_nodes(t):
     return lineage.topic_topology(processors(t))[0]
 
 
-@query("t12_late_data", "SELECT CAST(0 AS BIGINT) AS late_rows, count(*) AS rows_in, count(*) AS kept FROM events")
+_ARRIVED = """SELECT *, least((day(ts) - 1) // 6, 4) + CASE WHEN event_id % 7 = 3 THEN 1 ELSE 0 END AS part FROM events"""
+_CLOCK = """SELECT part AS batch_id, max(max(ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS watermark FROM arrived GROUP BY part"""
+
+
+def split(t):
+    """The events that arrive in order and late, kept apart by the watermark of their batch."""
+    return drained(t, arrivals(t, late=True), write=sinks.split_late("10 minutes"))[0].withColumn("late", F.col("late").cast("boolean"))
+
+
+@query("t12_late_data", """SELECT batch_id, coalesce(strftime(any_value(watermark), '%Y-%m-%d %H:%M:%S'), '') AS watermark, count(*) AS rows_in,
+    count(*) FILTER (coalesce(ts >= watermark, true)) AS kept, count(*) FILTER (ts < watermark) AS late_rows FROM arrived JOIN clock ON batch_id = part GROUP BY batch_id""", arrived=_ARRIVED, clock=_CLOCK)
 def t12(t):
-    """Rows dropped behind the watermark next to the batch count that keeps them."""
-    batches, done = drained(t, lineage.windowed_totals(events(t)), "update")
-    kept = sinks.latest_rows(batches, ["window_start"]).agg(F.sum("n").alias("kept"))
-    return sinks.batch_log(done).agg(F.sum("late_rows").alias("late_rows"), F.sum("n_rows").alias("rows_in")).select("late_rows", "rows_in", kept.scalar().alias("kept"))
+    """Of each batch the rows on time and those behind the watermark."""
+    rows = split(t).groupBy("batch_id").agg(
+        F.coalesce(F.date_format(F.max("watermark"), "yyyy-MM-dd HH:mm:ss"), F.lit("")).alias("watermark"), F.count("*").alias("rows_in"), F.count_if(~F.col("late")).alias("kept"), F.count_if(F.col("late")).alias("late_rows"))
+    return rows.withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+@query("t12_late_rows", """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, strftime(watermark, '%Y-%m-%d %H:%M:%S') AS watermark FROM arrived JOIN clock ON batch_id = part WHERE ts < watermark""", arrived=_ARRIVED, clock=_CLOCK)
+def t12_rows(t):
+    """The side table of late rows."""
+    return split(t).filter("late").select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), F.date_format("watermark", "yyyy-MM-dd HH:mm:ss").alias("watermark"))
+
+
+@query("t12_windows_on_time", """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS window_start, count(*) AS n, count(*) FILTER (late) AS late_rows FROM (
+    SELECT ts, coalesce(ts < watermark, false) AS late FROM arrived JOIN clock ON batch_id = part) GROUP BY 1""", arrived=_ARRIVED, clock=_CLOCK)
+def t12_windows(t):
+    """The batch twin keeps every row of an hour and says how many of them a stream would have lost."""
+    return split(t).groupBy(F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm").alias("window_start")).agg(F.count("*").alias("n"), F.count_if(F.col("late")).alias("late_rows"))

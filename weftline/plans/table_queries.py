@@ -243,11 +243,12 @@ def w07(t):
 
 
 @query("w08_feature_windows", """SELECT customer, strftime(day, '%Y-%m-%d') AS day, round(sum(total) OVER m, 2) / sum(n) OVER m AS avg_amount_30d, CAST(sum(n) OVER q AS BIGINT) AS orders_90d,
-    coalesce(day - lag(day) OVER (PARTITION BY customer ORDER BY day), -1) AS days_since_last FROM (SELECT o_custkey AS customer, CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) AS total, count(*) AS n FROM orders GROUP BY ALL)
+    coalesce(day - lag(day) OVER (PARTITION BY customer ORDER BY day), -1) AS days_since_last,
+    round((1999 - year(first_day)) * 12 + 1 - month(first_day) + (1 - day(first_day)) / 31.0::DOUBLE, 6) AS tenure_months FROM (SELECT *, min(day) OVER (PARTITION BY customer) AS first_day FROM (SELECT o_custkey AS customer, CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) AS total, count(*) AS n FROM orders GROUP BY ALL))
     WINDOW m AS (PARTITION BY customer ORDER BY day RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW), q AS (PARTITION BY customer ORDER BY day RANGE BETWEEN INTERVAL 90 DAY PRECEDING AND CURRENT ROW)""")
 def w08(t):
     out = tabular.customer_windows(t.read("orders"), "o_custkey", "o_orderdate", "o_totalprice", F.lit("1999-01-01").cast("date"))
-    return out.select("customer", F.date_format("day", "yyyy-MM-dd").alias("day"), "avg_amount_30d", "orders_90d", F.coalesce(F.col("days_since_last").cast("long"), F.lit(-1)).alias("days_since_last"))
+    return out.select("customer", F.date_format("day", "yyyy-MM-dd").alias("day"), "avg_amount_30d", "orders_90d", F.coalesce(F.col("days_since_last").cast("long"), F.lit(-1)).alias("days_since_last"), "tenure_months")
 
 
 @query("t13_graph_at", f"SELECT DISTINCT src, dst FROM versioned_edges WHERE valid_from <= {_MID} AND (valid_to IS NULL OR {_MID} <= valid_to)")

@@ -158,11 +158,17 @@ def v16(t):
     return judged.select("conv_id", "turn", *[F.col(c).cast("long").alias(c) for c in ("total_claims", "supported", "unsupported")], F.round("faithfulness", 6).alias("faithfulness"))
 
 
-@query("w09_retrieval_ranking", """SELECT event_id, doc_id, round(score, 6) AS score, position FROM (SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY score DESC, doc_id) AS INTEGER) AS position FROM (
-    SELECT g.event_id, g.doc_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score FROM got g, (SELECT count(*) AS n FROM embeddings) c JOIN embeddings q ON q.vec_id = g.event_id % n JOIN embeddings d ON d.vec_id = g.doc_id % n)) WHERE position <= 5""", got=_GOT)
+_CANDIDATES = 9
+
+
+@query("w09_retrieval_ranking", f"""SELECT event_id, doc_id, round(score, 6) AS score, position FROM (SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY score DESC, doc_id) AS INTEGER) AS position FROM (
+    SELECT g.event_id, g.doc_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score FROM candidates g, (SELECT count(*) AS n FROM embeddings) c JOIN embeddings q ON q.vec_id = g.event_id % n JOIN embeddings d ON d.vec_id = g.doc_id % n)) WHERE position <= 5""",
+       candidates=f"SELECT DISTINCT event_id, (event_id * (2 * i + 3) + i * i) % n AS doc_id FROM rag_events, (SELECT count(*) AS n FROM documents), range({_CANDIDATES}) r(i)")
 def w09(t):
-    n = t.n_vectors
-    asked = t.rag_events().select("event_id", F.explode("docs").alias("doc_id")).selectExpr("*", f"event_id % {n} AS q_id", f"doc_id % {n} AS d_id")
+    """The five best of the nine candidates that the retriever recorded for each query."""
+    n, documents = t.n_vectors, t.read("documents").count()
+    recorded = F.transform(F.sequence(F.lit(0), F.lit(_CANDIDATES - 1)), lambda i: (F.col("event_id") * (2 * i + 3) + i * i) % documents)
+    asked = t.rag_events().select("event_id", F.explode(F.array_distinct(recorded)).alias("doc_id")).selectExpr("*", f"event_id % {n} AS q_id", f"doc_id % {n} AS d_id")
     vectors = t.read("embeddings")
     queries = vectors.select(F.col("vec_id").alias("q_id"), F.col("embedding").alias("q"))
     docs = vectors.select(F.col("vec_id").alias("d_id"), F.col("embedding").alias("d"))

@@ -12,6 +12,13 @@ RUN_EVENT = (
     "job STRUCT<namespace: STRING, name: STRING, facets: MAP<STRING, STRING>>, "
     f"inputs ARRAY<{_DATASET}>, outputs ARRAY<{_DATASET}>, producer STRING, schemaURL STRING"
 )
+#: The same with every facet as a variant under its name.
+_OPEN_DATASET = "STRUCT<namespace: STRING, name: STRING, facets: MAP<STRING, VARIANT>>"
+OPEN_RUN_EVENT = (
+    "eventType STRING, eventTime STRING, run STRUCT<runId: STRING, facets: MAP<STRING, VARIANT>>, "
+    "job STRUCT<namespace: STRING, name: STRING, facets: MAP<STRING, VARIANT>>, "
+    f"inputs ARRAY<{_OPEN_DATASET}>, outputs ARRAY<{_OPEN_DATASET}>, producer STRING, schemaURL STRING"
+)
 MANIFEST = (
     "nodes MAP<STRING, STRUCT<name: STRING, resource_type: STRING, depends_on: STRUCT<nodes: ARRAY<STRING>>, columns: MAP<STRING, STRING>>>, "
     "sources MAP<STRING, STRUCT<name: STRING, source_name: STRING>>, "

@@ -19,14 +19,19 @@ def inspect_table(df: DataFrame) -> DataFrame:
 
 
 def inspect_csv(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: name, size, modification time, header columns and row count."""
-    df = spark.read.option("header", True).csv(path)
-    header = ",".join(df.columns)
-    return df.groupBy(
-        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_modification_time").alias("modified_at"),
-    ).agg(F.count("*").alias("row_count")).select(
-        "file_name", "file_size", "modified_at", F.lit(header).alias("columns"), F.lit("string").alias("column_type"), "row_count")
+    """One row per file: name, size, modification time, its own header columns and row count.
+
+    Rows are counted as the CSV reader sees them, so line feeds inside quotes don't count. The header is the first line of a file's first block.
+    """
+    def about(df: DataFrame, *more: Column) -> DataFrame:
+        names = ("file_path", "file_name", "file_size", "file_modification_time")
+        return df.select(*[F.col(f"_metadata.{n}").alias(n) for n in names], *more)
+
+    rows = about(spark.read.option("header", True).csv(path)).groupBy("file_path").agg(F.count("*").alias("row_count"))
+    lines = about(spark.read.text(path), "value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).filter("block = 0")
+    files = lines.groupBy("file_path", "file_name", "file_size", "file_modification_time").agg(F.min_by("value", "line").alias("columns"))
+    return files.join(rows, "file_path", "left").select(
+        "file_name", "file_size", F.col("file_modification_time").alias("modified_at"), "columns", F.lit("string").alias("column_type"), F.coalesce("row_count", F.lit(0)).alias("row_count"))
 
 
 def json_key_types(docs: DataFrame, column: str) -> DataFrame:

@@ -2,20 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.schemas import RUN_EVENT
+from weftline.schemas import OPEN_RUN_EVENT, RUN_EVENT
 
 
-def read_run_events(spark: SparkSession, path: str) -> DataFrame:
-    """Newline-delimited run events; a malformed line keeps its text in ``_corrupt_record``."""
+def read_run_events(spark: SparkSession, path: str, all_facets: bool = False) -> DataFrame:
+    """Newline-delimited run events; a malformed line keeps its text in ``_corrupt_record``.
+
+    Datasets come with the facets the graph operators read, as structs. With ``all_facets`` every facet of runs, jobs and
+    datasets comes as a variant under its name instead (see ``facets``).
+    """
     return (
-        spark.read.schema(RUN_EVENT + ", _corrupt_record STRING")
+        spark.read.schema((OPEN_RUN_EVENT if all_facets else RUN_EVENT) + ", _corrupt_record STRING")
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     )
 
 
+def facets(events: DataFrame) -> DataFrame:
+    """(job_namespace, job, owner, id, facet, body): a row for each facet of events read with ``all_facets``.
+
+    ``owner`` is run, job, input or output, ``id`` the run id or the name with its namespace, ``body`` JSON with its keys in order.
+    """
+    def of(owner: str, id_: str, found: str) -> str:
+        return f"transform(map_entries(coalesce({found}, map())), f -> named_struct('owner', '{owner}', 'id', {id_}, 'facet', f.key, 'body', to_json(f.value)))"
+
+    def sides(owner: str, column: str) -> str:
+        return f"flatten(transform(coalesce({column}, array()), d -> {of(owner, 'd.namespace || ' + chr(39) + '/' + chr(39) + ' || d.name', 'd.facets')}))"
+
+    job = entity_id("job.namespace", "job.name")
+    lists = f"concat({of('run', 'run.runId', 'run.facets')}, {of('job', job, 'job.facets')}, {sides('input', 'inputs')}, {sides('output', 'outputs')})"
+    return events.selectExpr("job.namespace AS job_namespace", "job.name AS job", f"inline({lists})")
+
+
+def facet(owner: str, name: str, path: str, kind: str) -> Column:
+    """The value at ``path`` of one facet of a run, job or dataset column read with ``all_facets``; null where it is missing or of another kind."""
+    return F.try_variant_get(F.col(f"{owner}.facets")[name], path, kind)
+
+
 def parse_run_events(docs: DataFrame, column: str = "doc") -> DataFrame:
     """The same from a text column; other columns are kept.
 

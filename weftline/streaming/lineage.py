@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from weftline.schemas import EVENT_TIME_FORMAT
 from weftline.sources.emitters import dataset, job_type, run_event
@@ -31,22 +32,67 @@ def drop_repeats(stream: DataFrame, keys: list[str], late_by: str) -> DataFrame:
     return stream.withWatermark("ts", late_by).dropDuplicatesWithinWatermark(keys)
 
 
-def run_lifecycle(stream: DataFrame) -> DataFrame:
-    """Latest state, start, end and event count of every run seen so far.
+class RunLifecycle(StatefulProcessor):
+    """Keeps one row for each open run and gives it up by a timer on event time.
 
-    Order is (ts, event_id), so the result does not depend on arrival order. Runs that never
-    end keep their state; give finished runs a retention by filtering the sink instead.
+    A run that has ended waits ``settle_ms`` after its last event for stragglers, one without an end ``timeout_ms``; then it is
+    closed as ``ended`` or ``timed out`` and leaves the state.
     """
-    ended = F.col("state").isin(TERMINAL)
-    return stream.groupBy("run_id").agg(
-        F.max(F.struct("ts", "event_id", "state"))["state"].alias("state"), F.min(F.when(F.col("state") == "START", F.col("ts"))).alias("started_at"),
-        F.max(F.when(ended, F.col("ts"))).alias("ended_at"), F.count("*").alias("n_events"))
+
+    STATE = "last_at BIGINT, last_id BIGINT, state STRING, started_at BIGINT, ended_at BIGINT, n_events BIGINT"
+
+    def __init__(self, settle_ms: int, timeout_ms: int):
+        self.settle_ms, self.timeout_ms = settle_ms, timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", self.STATE)
+
+    def _row(self, key, closed: str | None) -> Row:
+        _, _, state, started_at, ended_at, n_events = self.run.get()
+        return Row(run_id=key[0] if isinstance(key, tuple) else key, state=state, started_at=started_at, ended_at=ended_at, n_events=n_events, closed=closed)
+
+    def handleInputRows(self, key, rows, timerValues):
+        last_at, last_id, state, started_at, ended_at, n_events = self.run.get() if self.run.exists() else (None, None, None, None, None, 0)
+        for row in rows:
+            n_events += 1
+            if last_at is None or (row.at, row.event_id) > (last_at, last_id):
+                last_at, last_id, state = row.at, row.event_id, row.state
+            if row.state == "START" and (started_at is None or row.at < started_at):
+                started_at = row.at
+            if row.state in TERMINAL and (ended_at is None or row.at > ended_at):
+                ended_at = row.at
+        for due in list(self.handle.listTimers()):
+            self.handle.deleteTimer(due)
+        self.handle.registerTimer(last_at // 1000 + (self.timeout_ms if ended_at is None else self.settle_ms))
+        self.run.update((last_at, last_id, state, started_at, ended_at, n_events))
+        yield self._row(key, None)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.run.exists():
+            yield self._row(key, "timed out" if self.run.get()[4] is None else "ended")
+            self.run.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def run_lifecycle(stream: DataFrame, late_by: str = "1 hour", settle_hours: int = 12, timeout_hours: int = 24) -> DataFrame:
+    """Latest state, start, end and event count of every run, once for each batch that has rows of it and once when it is closed.
+
+    ``closed`` is null while a run is open, then ``ended`` or ``timed out``. Order is (ts, event_id), so the result does not
+    depend on the order inside a batch. State holds open runs only; it needs the RocksDB store (``sinks.start(..., settings=sinks.ROCKSDB)``).
+    Rows behind the watermark are dropped. Rows that come in the batch that would close their run keep it open; rows of a closed run open it again.
+    """
+    rows = stream.withWatermark("ts", late_by).select("run_id", "state", "event_id", "ts", F.unix_micros("ts").alias("at"))
+    shape = "run_id STRING, state STRING, started_at BIGINT, ended_at BIGINT, n_events BIGINT, closed STRING"
+    found = rows.groupBy("run_id").transformWithState(RunLifecycle(settle_hours * 3_600_000, timeout_hours * 3_600_000), shape, "Update", "EventTime")
+    return found.select("run_id", "state", F.timestamp_micros("started_at").alias("started_at"), F.timestamp_micros("ended_at").alias("ended_at"), "n_events", "closed")
 
 
-def batch_edges(batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Edges of one micro-batch: repeats of ``keys`` inside the batch count once."""
-    once = batch.dropDuplicates(keys)
-    return once.selectExpr(
+def batch_edges(batch: DataFrame) -> DataFrame:
+    """Edges of one micro-batch; repeated events are dropped ahead of it, over all batches (``drop_repeats``)."""
+    return batch.selectExpr(
         "ts", "inline(array(named_struct('src', in_a, 'dst', job_name, 'type', 'CONSUMED_BY'), named_struct('src', in_b, 'dst', job_name, 'type', 'CONSUMED_BY'), "
         "named_struct('src', job_name, 'dst', out_a, 'type', 'PRODUCED_BY')))",
     ).groupBy("src", "dst", "type").agg(F.count("*").alias("n_events"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))

@@ -17,10 +17,20 @@ def file_stream(spark: SparkSession, path: str, schema: str = EVENT_SCHEMA, fmt:
     return stream.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in stream.columns else stream
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, schema: str = EVENT_SCHEMA) -> DataFrame:
+def table_stream(spark: SparkSession, folder: str, name: str, schema: str = EVENT_SCHEMA, files_per_batch: int | None = None) -> DataFrame:
     """A Parquet table as a stream, whether it is one file or a folder of files. A plain file
     is no legal stream path, a pattern that matches it is."""
-    return file_stream(spark, f"{folder}/{name}.parque[t]", schema)
+    return file_stream(spark, f"{folder}/{name}.parque[t]", schema, files_per_batch=files_per_batch)
+
+
+def write_arrivals(df: DataFrame, part: str, parts: int, files: int, path: str) -> None:
+    """``df`` as files that arrive in the order of the column ``part`` (0 to ``parts`` - 1), ``files`` of them for each part.
+
+    One part is written after the other, so a file stream with that many files a batch reads a part in each batch.
+    """
+    for number in range(parts):
+        own = df.filter(F.col(part) == number).drop(part)
+        own.repartition(files).write.mode("append").parquet(path)
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, schema: str) -> DataFrame:
