@@ -72,3 +72,13 @@ def test_query(spark):
     got = language.op6_language(spark, "/root/testdata/sf0.001").collect()
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     assert len(got) == docs and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+
+
+def test_copies_do_not_crowd_out_a_language(spark, monkeypatch):
+    monkeypatch.setattr(language, "DOCS_A_LANGUAGE", 20)
+    same = spark.range(4000).selectExpr("id AS doc_id", "repeat('one text ', 90) AS text", "'en' AS lang")
+    again = spark.range(300).selectExpr("9000L AS doc_id", "repeat('row again ', 90) AS text", "'en' AS lang")
+    other = spark.range(200).selectExpr("10000 + id AS doc_id", "repeat('text ' || id || ' ', 90) AS text", "'en' AS lang")
+    rare = spark.createDataFrame([(99999, "una sola frase " * 40, "es")], "doc_id long, text string, lang string")
+    rows, langs = language.sample_windows(same.unionByName(again).unionByName(other).unionByName(rare))
+    assert langs.count("es") == language.WINDOWS_A_DOC and langs.count("en") == 20 * language.WINDOWS_A_DOC == len(rows) - langs.count("es")

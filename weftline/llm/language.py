@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -130,9 +130,13 @@ def has_letter(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def sample_windows(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[np.ndarray, list[str]]:
-    """(windows, language of each) of a bounded number of labelled texts for each language."""
-    labelled = docs.select(docs[f"`{text}`"].alias("text"), docs[f"`{lang}`"].alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    drawn = labelled.withColumn("_draw", F.shiftrightunsigned(F.xxhash64(F.lit("draw"), "text"), 1))
+    """(windows, language of each) of up to ``DOCS_A_LANGUAGE`` texts of each language, ``WINDOWS_A_DOC`` of each.
+
+    Texts are drawn by a hash of their id, where there is one, and of themselves, so that copies of a text are drawn apart. Every language is cut by itself.
+    """
+    ident = [docs["doc_id"]] if "doc_id" in docs.columns else []
+    labelled = docs.select(F.xxhash64(F.lit("draw"), *ident, docs[f"`{text}`"]).alias("_hash"), docs[f"`{text}`"].alias("text"), docs[f"`{lang}`"].alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    drawn = labelled.withColumn("_draw", F.shiftrightunsigned("_hash", 1))
     counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return np.zeros((0, WINDOW), np.uint8), []
@@ -154,8 +158,10 @@ def sample_windows(docs: DataFrame, text: str = "text", lang: str = "lang") -> t
                 yield pa.RecordBatch.from_arrays([part.column("_draw").take(at), part.column("lang").take(at), pa.array(number[keep]), pa.array([rows[i].tobytes() for i in keep], pa.binary())], names=["_draw", "lang", "number", "bytes"])
 
     found = own.select("_draw", "lang", "text").mapInArrow(run, "_draw long, lang string, number long, bytes binary")
-    limit = 2 * DOCS_A_LANGUAGE * WINDOWS_A_DOC * len(counts)
-    got = found.orderBy("_draw", "lang", "number", "bytes").limit(limit).select("bytes", "lang").collect()
+    # Each task keeps the first windows of each language before they meet.
+    first = Window.partitionBy("lang").orderBy("_draw", "number", "bytes")
+    kept = found.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= DOCS_A_LANGUAGE * WINDOWS_A_DOC)
+    got = kept.select("bytes", "lang", "_place").orderBy("_place", "lang").collect()
     return np.array([np.frombuffer(r.bytes, np.uint8) for r in got]).reshape(-1, WINDOW), [r.lang for r in got]
 
 

@@ -40,6 +40,7 @@ CUES = 20_000
 CONFIDENCE = 2.5
 ACCEPT = 0.7
 SPAN = 0.5
+LEFT_OUT = 0.4
 BUCKET_BITS = 20
 BLOCK = 1 << 19
 CHUNK = 64
@@ -174,16 +175,18 @@ def fit_field(features: np.ndarray, tags: np.ndarray, inside: np.ndarray, update
         shuffled = order.permutation(len(features))
         for at in range(0, len(shuffled), batch):
             own = shuffled[at:at + batch]
-            f, live = features[own], inside[own]
+            live = inside[own]
+            # Features left out at random: a word that was never seen must do with those it shares with others.
+            f = np.where(order.random(features[own].shape) < LEFT_OUT, 0, features[own])
             _, by_score, by_moves, by_begin = log_likelihood(weights[f].sum(axis=2), tags[own], live, small["moves"], small["begin"])
             where, back = np.unique(f[live], return_inverse=True)
             gradient = np.bincount(back.ravel(), np.repeat(by_score[live], f.shape[2]), minlength=where.size) / len(own) - decay * weights[where]
             sums[where] += gradient ** 2
             weights[where] += rate * gradient / np.sqrt(sums[where])
+            weights[0] = 0
             for k, g in (("moves", by_moves / len(own)), ("begin", by_begin / len(own))):
                 small_sums[k] += g ** 2
                 small[k] = small[k] + rate * g / np.sqrt(small_sums[k])
-    weights[0] = 0
     return weights.astype(np.float32), small["moves"], small["begin"]
 
 
