@@ -162,6 +162,13 @@ class Tables:
         nations = self.read("nation").selectExpr("'nation:' || n_nationkey AS src", "'region:' || n_regionkey AS dst")
         return [items, orders, customers, nations]
 
+    def entity_keys(self) -> list[DataFrame]:
+        """The layers by number instead of by name: parts are even, suppliers odd, and each layer has keys of its own."""
+        items = self.read("lineitem").selectExpr("explode(array(l_partkey * 2, l_suppkey * 2 + 1)) AS src", "l_orderkey AS dst").distinct()
+        orders = self.read("orders").selectExpr("o_orderkey AS src", "o_custkey AS dst")
+        customers = self.read("customer").selectExpr("c_custkey AS src", "c_nationkey AS dst")
+        return [items, orders, customers, self.read("nation").selectExpr("n_nationkey AS src", "n_regionkey AS dst")]
+
     def entity_edges(self) -> DataFrame:
         items, *others = self.entity_layers()
         for layer in others:
