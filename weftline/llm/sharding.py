@@ -10,8 +10,8 @@ cut into at most as many runs as there are shards. The cutting works on a table
 ``shards * VIRTUAL_NODES`` whatever the input; rows then need only their rank in their arc, which comes from counts
 of small cells of the ring and a rank inside each cell. No window holds a shard or an arc.
 
-Rows that are equal in id, size and checksum are counted first and dealt out as a run of slots, so repeated rows
-can't heat one cell. Null ids and null texts are values like any other (a null text has size 1 and checksum 0).
+Rows that are equal in id, size and checksum are counted first and dealt out as a run of slots, in pieces of ``SLOTS``, so repeated rows
+heat neither a cell nor a task. Null ids and null texts are values like any other (a null text has size 1 and checksum 0).
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ SHARDS = 8
 VIRTUAL_NODES = 64
 CELL_ROWS = 4096
 PIECES_BITS = 12
+#: Slots that one row is dealt at a time.
+SLOTS = 4096
 
 
 def place(*columns: Column) -> Column:
@@ -103,10 +105,14 @@ def assign(df: DataFrame, keys: list[str], shards: int = SHARDS, virtual_nodes:
     inside = Window.partitionBy("arc", "lap", "cell").orderBy("place", *names).rowsBetween(Window.unboundedPreceding, -1)
     ranked = placed.withColumn("inner", F.coalesce(F.sum("copies").over(inside), F.lit(0))).join(
         cells.select("arc", "lap", "cell", "start"), ["arc", "lap", "cell"]).withColumn("rank", F.col("start") + F.col("inner"))
-    met = ranked.join(dealt, "arc").filter("low < rank + copies AND high > rank")
-    every = F.explode(F.sequence(F.greatest("low", "rank"), F.least("high", F.expr("rank + copies")) - 1)).alias("at")
-    out = met.select(*names, "shard", "slot", "low", every)
-    return out.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], "shard", (F.col("slot") + F.col("at") - F.col("low")).alias("slot"))
+    met = cut_lineage(ranked.join(dealt, "arc").filter("low < rank + copies AND high > rank").select(
+        *names, "shard", (F.col("slot") - F.col("low")).alias("shift"), F.greatest("low", "rank").alias("first"), (F.least("high", F.expr("rank + copies")) - 1).alias("last")))
+    # A row of very many copies is cut into pieces that go to tasks of their own before its slots are dealt out.
+    few = F.col("last") - F.col("first") < SLOTS
+    pieces = met.filter(~few).select(*names, "shard", "shift", F.explode(F.sequence("first", "last", F.lit(SLOTS).cast("long"))).alias("first"), F.col("last").alias("end"))
+    pieces = pieces.withColumn("last", F.least(F.col("first") + SLOTS - 1, "end")).drop("end").repartition("shard", "first")
+    out = met.filter(few).unionByName(pieces).select(*names, "shard", "shift", F.explode(F.sequence("first", "last")).alias("at"))
+    return out.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], "shard", (F.col("shift") + F.col("at")).alias("slot"))
 
 
 @query("op3_sharding")
