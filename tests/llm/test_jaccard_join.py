@@ -150,6 +150,28 @@ def test_pairs_grow_with_the_members_of_a_cluster(spark, monkeypatch):
     assert made[1] < 7 * made[0]
 
 
+def test_members_with_many_own_tokens_make_no_pairs(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [rng.choice("abcdefghijklmnop") + str(rng.randrange(10**6)) for _ in range(3000)]
+    rows = []
+    for i in range(20):
+        words = list(base)
+        # 56 own words are 168 own tokens: two members differ by 336 tokens, and 90 percent allows 314.
+        for place in rng.sample(range(0, 3000, 4), 56):
+            words[place] = f"own{i}x{place}"
+        rows.append((i, " ".join(words)))
+    rows.append((20, rows[0][1] + " end"))
+    made, real = [], jj.linked
+
+    def counting(pairs, sets, percent):
+        made.append(pairs.count())
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(jj, "linked", counting)
+    check(spark, rows)
+    assert sum(made) <= len(rows)
+
+
 def test_sketches_bound_the_difference():
     rng = np.random.default_rng(1)
     texts = [" ".join(map(str, rng.integers(0, 50, 200))) for _ in range(6)]

@@ -17,8 +17,10 @@ can link with any. Groups are formed from the links. Only lists that still hold
 joined in full, and only between members of different groups: first a sixteenth of the lists, whose links join most of
 what belongs together, then all lists. A large group of near copies so costs rows, not pairs.
 
-Candidates pass a filter of sizes and of 512 parity bits of the sets (the bits that differ can't be more than the tokens
-that differ), then the sets themselves are compared. Nothing is sampled or cut.
+Candidates pass a filter of sizes, of the numbers of tokens that one set alone has and of 512 parity bits of the other
+tokens (all of the former differ, and of the latter at least as many as bits do), then the sets themselves are compared.
+So members with many own tokens, which link with nothing, don't meet all others of their group in each of its lists.
+Nothing is sampled or cut.
 
 Document frequencies and the list of copies are arrays in the shared folder that workers map into memory.
 
@@ -91,10 +93,10 @@ class Sets:
                 out[:, k] = mix(running[self.first + self.sizes] - running[self.first] + self.sizes.astype(np.uint64))
         return out
 
-    def sketches(self) -> np.ndarray:
-        """Parity bits for each set, as ``SKETCH_WORDS`` columns."""
+    def sketches(self, counted: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Parity bits for each set, or for its ``counted`` tokens, as ``SKETCH_WORDS`` columns."""
         bits = 64 * SKETCH_WORDS
-        cell = self.owner * bits + (mix(self.tokens ^ np.uint64(0xD1B54A32D192ED03)) % np.uint64(bits)).astype(np.int64)
+        cell = self.owner[counted] * bits + (mix(self.tokens[counted] ^ np.uint64(0xD1B54A32D192ED03)) % np.uint64(bits)).astype(np.int64)
         odd = (np.bincount(cell, minlength=self.n * bits) & 1).astype(np.uint8).reshape(self.n, bits)
         return np.packbits(odd, axis=1).view(np.int64).reshape(self.n, SKETCH_WORDS)
 
@@ -288,7 +290,7 @@ def write_index(rows: DataFrame, words: int, percent: int, folder: str, copies:
                 alone = alone[own.first + own.sizes] - alone[own.first]
                 # Smaller sets only pair with equal ones. A prefix of tokens that no other set has can't be shared.
                 open_sets = is_first(prints, part.column("id"), folder, copies) & (own.sizes >= least) & (alone < prefix)
-                sketch = own.sketches()
+                sketch = own.sketches(often > 1)
                 kind, sig, whose, sets = [], [], [], []
                 for i in np.flatnonzero(open_sets).tolist():
                     at = slice(own.first[i], own.first[i] + own.sizes[i])
@@ -320,11 +322,11 @@ def read_index(spark: SparkSession, path: str, kind: int) -> DataFrame:
 # Pairs and groups.
 
 def near(percent: int) -> Column:
-    """Whether sizes and parity bits of the rows a and b allow the threshold."""
+    """Whether sizes, own tokens and parity bits of the other tokens of the rows a and b allow the threshold."""
     n, m = F.col("a.n"), F.col("b.n")
     overlap = F.ceil((n + m) * percent / (100 + percent) - 1e-9)
     apart = sum((F.bit_count(F.col(f"a.{s}").bitwiseXOR(F.col(f"b.{s}"))) for s in SKETCH), F.lit(0))
-    return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (apart <= n + m - 2 * overlap)
+    return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (apart + F.col("a.alone") + F.col("b.alone") <= n + m - 2 * overlap)
 
 
 def pairs_of(left: DataFrame, right: DataFrame, condition: Column, percent: int) -> DataFrame:
