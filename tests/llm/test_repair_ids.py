@@ -26,6 +26,15 @@ def test_grammar_round_trip(docs):
     assert [len(rp.expand(np.array([4 + r], np.int32), shard.rules, 4)) for r in range(len(shard.rules))] == shard.lengths.tolist()
 
 
+def test_pairs_that_share_a_counter_are_counted_apart():
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 40, 500).astype(np.int64) << 32 | 7
+    cell = (keys >> 32) % 5 * 3
+    fullest = np.bincount(cell, minlength=16) > 0
+    for got, expected in zip(rp.count_pairs(keys, cell, fullest), np.unique(keys, return_inverse=True, return_counts=True), strict=True):
+        assert np.array_equal(got, expected)
+
+
 def test_grammar_shrinks_repeats():
     ids = np.tile(np.arange(50, dtype=np.int32), 4000)
     symbols, _, rules = rp.compress(ids, np.array([0]), 50)

@@ -50,6 +50,32 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 # The grammar.
 
+def rank_of(chosen: np.ndarray, size: int) -> np.ndarray:
+    """For each of ``size`` places its rank among the ``chosen`` ones."""
+    ranks = np.zeros(size, np.int64)
+    ranks[chosen] = np.arange(chosen.size)
+    return ranks
+
+
+def count_pairs(keys: np.ndarray, cell: np.ndarray, fullest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(different keys in order, which of them each key is, uses of each), as ``np.unique`` gives them.
+
+    One key of each counter is counted in place; only the others that share its counter are sorted.
+    """
+    cells = np.flatnonzero(fullest)
+    slot = rank_of(cells, fullest.size)[cell]
+    first = np.zeros(cells.size, np.int64)
+    first[slot] = keys
+    other = np.flatnonzero(first[slot] != keys)
+    # A counter is only full by keys, so each slot has one.
+    more, inverse = np.unique(keys[other], return_inverse=True)
+    slot[other] = cells.size + inverse
+    every = np.concatenate([first, more])
+    uses = np.bincount(slot, minlength=every.size)
+    order = np.argsort(every)
+    return every[order], rank_of(order, every.size)[slot], uses[order]
+
+
 def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, first symbol of each document, rules as rows of two symbols); rule i is the symbol ``base + i``.
 
@@ -60,16 +86,22 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
     rules: list[np.ndarray] = []
     made = base
     while symbols.size > 1:
-        open_pair = np.ones(symbols.size - 1, bool)
-        inner = bounds[(bounds > 0) & (bounds < symbols.size)]
-        open_pair[inner - 1] = False
-        keys = (symbols[:-1].astype(np.int64) << 32) | symbols[1:]
-        cell = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS_BITS)).astype(np.int64)
-        counts = np.bincount(cell[open_pair], minlength=1 << COUNTERS_BITS)
+        closed = np.unique(bounds[(bounds > 0) & (bounds < symbols.size)]) - 1
+        keys = symbols[:-1].astype(np.int64)
+        keys <<= 32
+        keys |= symbols[1:]
+        cell = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        cell >>= np.uint64(64 - COUNTERS_BITS)
+        cell = cell.view(np.int64)
+        counts = np.bincount(cell, minlength=1 << COUNTERS_BITS) - np.bincount(cell[closed], minlength=1 << COUNTERS_BITS)
         # Pairs share counters, so a counter only bounds a pair's uses; those of the fullest counters are counted exactly.
-        floor = max(LEAST_USES, int(np.partition(counts, -RULES_A_ROUND)[-RULES_A_ROUND]))
-        likely = np.flatnonzero((counts[cell] >= floor) & open_pair)
-        pairs, which, uses = np.unique(keys[likely], return_inverse=True, return_counts=True)
+        full = counts[counts >= LEAST_USES]
+        floor = int(np.partition(full, -RULES_A_ROUND)[-RULES_A_ROUND]) if full.size >= RULES_A_ROUND else LEAST_USES
+        fullest = counts >= floor
+        hit = fullest[cell]
+        hit[closed] = False
+        likely = np.flatnonzero(hit)
+        pairs, which, uses = count_pairs(keys[likely], cell[likely], fullest)
         chosen = np.zeros(pairs.size, bool)
         chosen[np.argsort(-uses, kind="stable")[:RULES_A_ROUND]] = True
         chosen &= uses >= LEAST_USES
@@ -77,16 +109,17 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
         if not at.size:
             break
         # Where chosen pairs overlap, every second one of the run is replaced, from the left.
+        place = np.arange(at.size)
         heads = np.append(True, np.diff(at) != 1)
-        run = np.cumsum(heads) - 1
-        even = (np.arange(at.size) - np.flatnonzero(heads)[run]) % 2 == 0
+        even = (place - np.maximum.accumulate(np.where(heads, place, 0))) & 1 == 0
         at, which = at[even], which[even]
         used = np.bincount(which, minlength=pairs.size)
         good = used[which] > 2
         at, which = at[good], which[good]
         if at.size < LEAST_GAIN * symbols.size:
             break
-        kept, number = np.unique(which, return_inverse=True)
+        kept = np.flatnonzero(used > 2)
+        number = rank_of(kept, pairs.size)[which]
         rules.append(np.stack([pairs[kept] >> 32, pairs[kept] & 0xFFFFFFFF], 1).astype(np.int32))
         symbols[at] = made + number
         made += kept.size
@@ -169,7 +202,15 @@ class Shard:
         return symbol
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.base)
+        """The ids of all documents: each rule is expanded once, then copied to where it stands."""
+        rules = expand(np.arange(self.base, self.base + len(self.rules), dtype=np.int32), self.rules, self.base)
+        source = np.concatenate([rules, self.symbols])
+        begin, counts = np.arange(rules.size, source.size), np.ones(self.symbols.size, np.int64)
+        nested = np.flatnonzero(self.symbols >= self.base)
+        rule = self.symbols[nested] - self.base
+        begin[nested], counts[nested] = (np.cumsum(self.lengths) - self.lengths)[rule], self.lengths[rule]
+        begin -= np.cumsum(counts) - counts
+        return source[np.repeat(begin, counts) + np.arange(self.n_ids)]
 
 
 def shards_of(raw: np.ndarray) -> Iterator[Shard]:
