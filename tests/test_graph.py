@@ -284,6 +284,17 @@ def test_betweenness_in_batches_of_sources(edges_of):
     assert whole.keys() == parts.keys() and all(np.isclose(whole[k], parts[k]) for k in whole) and max(whole.values()) > 0
 
 
+def test_betweenness_batches_follow_the_rows_that_are_made(edges_of, monkeypatch):
+    # Two hundred short chains: no source leads to more than two edges, so 2,000 rows hold far more sources than if each led to all 400.
+    pairs = [e for i in range(200) for e in ((f"a{i}", f"b{i}"), (f"b{i}", f"c{i}"))]
+    made = []
+    one = centrality._dependencies
+    monkeypatch.setattr(centrality, "_dependencies", lambda *args: made.append(1) or one(*args))
+    got = {r["id"]: r["score"] for r in centrality.betweenness(edges_of(pairs), batch_rows=2_000).collect()}
+    assert len(made) <= 4
+    assert len(got) == 600 and all(np.isclose(v, (k[0] == "b") / (599 * 598)) for k, v in got.items())
+
+
 def modularity_of(pairs, community):
     links = {frozenset(p) for p in pairs}
     strength = defaultdict(int)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.traversal import flow, reach, roots_of, stored_flow
+from weftline.operators.traversal import ROUNDS_PER_CUT, flow, roots_of, stored_flow
 from weftline.session import cut_lineage
 
 
@@ -52,68 +52,93 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, steps_per
 
 #: Rows of (source, edge) that a batch of sources may make.
 BATCH_ROWS = 50_000_000
+#: Sources are dealt over so many slots; a batch is a range of them.
+SLOTS = 1 << 30
+#: A batch may hold so many times the sources that its size was judged by.
+GROWTH = 256
 
 
 def betweenness(edges: DataFrame, levels_per_cut: int = 4, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """(id, score): share of shortest paths through each node, normalised by (n-1)(n-2).
 
     Sources come in hashed batches of about ``batch_rows`` (source, edge) rows and their dependencies are added up, so what is
-    stored at a time doesn't grow with the number of sources.
+    stored at a time doesn't grow with the number of sources. The first batch is small enough if every source leads to every edge;
+    each later one is as large as the rows of those before it allow. Names are numbered first.
     """
     pairs = stored_flow(edges, "downstream")
-    ids = cut_lineage(pairs.selectExpr("explode(array(src, dst)) AS id").distinct())
-    sources = cut_lineage(roots_of(pairs, "src"))
-    n = ids.count()
-    batches = max(1, -(-sources.count() * pairs.count() // batch_rows))
-    raw = None
-    for number in range(batches):
-        part = sources if batches == 1 else sources.filter(F.pmod(F.xxhash64("root"), F.lit(batches)) == number)
-        own = _dependencies(pairs, part, levels_per_cut)
-        raw = own if raw is None else raw.unionByName(own)
+    ids = cut_lineage(pairs.selectExpr("explode(array(src, dst)) AS id").distinct().withColumn("number", F.monotonically_increasing_id()))
+    links = cut_lineage(
+        pairs.join(ids.select(F.col("id").alias("src"), F.col("number").alias("a")), "src")
+        .join(ids.select(F.col("id").alias("dst"), F.col("number").alias("b")), "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    ).filter("src IS NOT NULL AND dst IS NOT NULL")
+    sources = cut_lineage(roots_of(links, "src").withColumn("slot", F.pmod(F.xxhash64("root"), F.lit(SLOTS))))
+    n, low, rows, raw = ids.count(), 0, 0, None
+    wide = max(1, SLOTS * batch_rows // max(1, sources.count() * links.count()))
+    while low < SLOTS:
+        high = min(SLOTS, low + wide)
+        near = _shortest(links, sources.filter((F.col("slot") >= low) & (F.col("slot") < high)), levels_per_cut)
+        own = _dependencies(links, near, levels_per_cut)
+        raw, low = own if raw is None else raw.unionByName(own), high
+        if low < SLOTS:
+            fan_out = links.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("outs"))
+            met = near.groupBy("node").agg(F.count("*").alias("roots")).join(fan_out, "node", "left")
+            rows += met.agg(F.sum(F.col("roots") * F.coalesce("outs", F.lit(1)))).first()[0] or 0
+            wide = max(1, min(low * batch_rows // max(1, rows), low * GROWTH))
     scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0
-    totals = raw.groupBy("id").agg(F.sum("raw").alias("raw"))
-    return ids.join(totals, "id", "left").select("id", (F.coalesce("raw", F.lit(0.0)) * scale).alias("score"))
+    totals = raw.groupBy("number").agg(F.sum("raw").alias("raw"))
+    return ids.join(totals, "number", "left").select("id", (F.coalesce("raw", F.lit(0.0)) * scale).alias("score"))
 
 
-def _dependencies(pairs: DataFrame, sources: DataFrame, levels_per_cut: int) -> DataFrame:
-    """Stored (id, raw): what each node carries of the shortest paths from ``sources``.
+def _shortest(links: DataFrame, sources: DataFrame, hops: int) -> DataFrame:
+    """(root, node, depth, paths): least depth and number of shortest paths of every node below each source, itself at depth 0.
 
-    Shortest-path counts grow level by level over the edges that lie on shortest paths;
-    dependencies are then summed backwards over the same edges.
+    As many walks as the least number of hops allows are as many shortest paths, so a round counts walks of several hops and
+    keeps the shortest of each node.
     """
-    near = reach(pairs, sources, include_root=True)
-    left = near.select("root", F.col("node").alias("u"), F.col("depth").alias("du"))
-    right = near.select("root", F.col("node").alias("v"), F.col("depth").alias("dv"))
-    tight = cut_lineage(
-        left.join(pairs, left["u"] == pairs["src"]).select("root", "u", F.col("dst").alias("v"), (F.col("du") + 1).alias("dv"))
-        .join(right, ["root", "v", "dv"], "left_semi"))
-    deepest = tight.agg(F.max("dv")).first()[0] or 0
-    level = near.filter("depth = 0").select("root", "node", F.lit(1.0).alias("paths"))
-    counted = level.withColumn("depth", F.lit(0))
-    for d in range(1, deepest + 1):
-        level = (
-            tight.filter(F.col("dv") == d).join(level.withColumnRenamed("node", "u"), ["root", "u"])
-            .groupBy("root", F.col("v").alias("node")).agg(F.sum("paths").alias("paths")))
-        if d % levels_per_cut == 0:
-            level = cut_lineage(level)
-        counted = counted.unionByName(level.withColumn("depth", F.lit(d)))
-    counted = cut_lineage(counted)
-    above = counted.select("root", F.col("node").alias("u"), F.col("paths").alias("paths_u"))
-    below = counted.select("root", F.col("node").alias("v"), F.col("paths").alias("paths_v"))
+    frontier = sources.select("root", F.col("root").alias("node"), F.lit(0).alias("depth"), F.lit(1.0).alias("paths"))
+    near, rounds = frontier, 0
+    while True:
+        step, found = frontier.select("root", "node", "depth", "paths"), None
+        for hop in range(1, hops + 1):
+            step = step.join(links, step["node"] == links["src"]).groupBy("root", F.col("dst").alias("node")).agg(
+                F.min(F.col("depth") + 1).alias("depth"), F.sum("paths").alias("paths"))
+            at = step.withColumn("hop", F.lit(hop))
+            found = at if found is None else found.unionByName(at)
+        # Known pairs take part with hop 0 and win.
+        fresh = cut_lineage(
+            found.unionByName(near.withColumn("hop", F.lit(0))).groupBy("root", "node")
+            .agg(F.min("depth").alias("depth"), F.min_by("paths", "hop").alias("paths"), F.min("hop").alias("hop")).filter("hop > 0"))
+        near = near.unionByName(fresh.drop("hop"))
+        rounds += 1
+        if rounds % ROUNDS_PER_CUT == 0:
+            near = cut_lineage(near)
+        frontier = fresh.filter(F.col("hop") == hops)
+        if frontier.isEmpty():
+            return near
+
+
+def _dependencies(links: DataFrame, near: DataFrame, levels_per_cut: int) -> DataFrame:
+    """Stored (number, raw): what each node carries of the shortest paths in ``near`` (see ``_shortest``).
+
+    Dependencies are summed backwards, level by level, over the edges that lie on shortest paths.
+    """
+    above = near.select("root", F.col("node").alias("u"), (F.col("depth") + 1).alias("dv"), F.col("paths").alias("paths_u"))
+    below = near.select("root", F.col("node").alias("v"), F.col("depth").alias("dv"), F.col("paths").alias("paths_v"))
     ratios = cut_lineage(
-        tight.join(above, ["root", "u"]).join(below, ["root", "v"])
+        above.join(links, above["u"] == links["src"]).withColumnRenamed("dst", "v").join(below, ["root", "v", "dv"])
         .select("root", "u", "v", "dv", (F.col("paths_u") / F.col("paths_v")).alias("ratio")))
+    deepest = ratios.agg(F.max("dv")).first()[0] or 0
     share = ratios.limit(0).select("root", F.col("v").alias("node"), F.col("ratio").alias("share"))
     summed = share
     for d in range(deepest, 0, -1):
-        share = (
-            ratios.filter(F.col("dv") == d).join(share.withColumnRenamed("node", "v"), ["root", "v"], "left")
-            .groupBy("root", F.col("u").alias("node"))
-            .agg(F.sum(F.col("ratio") * (1 + F.coalesce("share", F.lit(0.0)))).alias("share")))
+        level = ratios.filter(F.col("dv") == d)
+        # Nothing lies below the deepest level.
+        known = level.withColumn("share", F.lit(0.0)) if d == deepest else level.join(share.withColumnRenamed("node", "v"), ["root", "v"], "left")
+        share = known.groupBy("root", F.col("u").alias("node")).agg(F.sum(F.col("ratio") * (1 + F.coalesce("share", F.lit(0.0)))).alias("share"))
         if d % levels_per_cut == 0:
             share = cut_lineage(share)
         summed = summed.unionByName(share)
-    return cut_lineage(summed.filter("root <> node").groupBy(F.col("node").alias("id")).agg(F.sum("share").alias("raw")))
+    return cut_lineage(summed.filter("root <> node").groupBy(F.col("node").alias("number")).agg(F.sum("share").alias("raw")))
 
 
 def critical_nodes(edges: DataFrame, top_n: int = 5) -> DataFrame:
