@@ -295,6 +295,19 @@ def test_betweenness_batches_follow_the_rows_that_are_made(edges_of, monkeypatch
     assert len(got) == 600 and all(np.isclose(v, (k[0] == "b") / (599 * 598)) for k, v in got.items())
 
 
+def test_critical_nodes_of_many_sources_take_few_batches(edges_of, monkeypatch):
+    # Stars of three levels; the hub of the largest lies on most paths.
+    pairs = [e for i in range(60) for e in ([(f"a{i}", f"hub{i:02d}")] + [(f"hub{i:02d}", f"z{i}.{j}") for j in range(1 + i // 10)])]
+    made = []
+    one = centrality._dependencies
+    monkeypatch.setattr(centrality, "_dependencies", lambda *args: made.append(1) or one(*args))
+    got = centrality.critical_nodes(edges_of(pairs), top_n=3, batch_rows=1_500).collect()
+    n = len({x for p in pairs for x in p})
+    assert len(made) <= 4
+    assert [(r.id, r.in_degree, r.out_degree, r.total) for r in sorted(got, key=lambda r: r.id)] == [(f"hub{i}", 1, 6, 7) for i in (50, 51, 52)]
+    assert all(np.isclose(r.score, 6 / ((n - 1) * (n - 2))) and r.rank > 0 for r in got)
+
+
 def modularity_of(pairs, community):
     links = {frozenset(p) for p in pairs}
     strength = defaultdict(int)

@@ -141,9 +141,9 @@ def _dependencies(links: DataFrame, near: DataFrame, levels_per_cut: int) -> Dat
     return cut_lineage(summed.filter("root <> node").groupBy(F.col("node").alias("number")).agg(F.sum("share").alias("raw")))
 
 
-def critical_nodes(edges: DataFrame, top_n: int = 5) -> DataFrame:
-    """Highest betweenness first, with degrees and PageRank."""
-    best = cut_lineage(betweenness(edges).orderBy(F.desc(F.round("score", 9)), "id").limit(top_n))
+def critical_nodes(edges: DataFrame, top_n: int = 5, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """Highest betweenness first, with degrees and PageRank. ``batch_rows`` is that of ``betweenness``."""
+    best = cut_lineage(betweenness(edges, batch_rows=batch_rows).orderBy(F.desc(F.round("score", 9)), "id").limit(top_n))
     return best.join(degrees(edges), "id").join(pagerank(edges), "id")
 
 
