@@ -350,6 +350,21 @@ def test_louvain_communities(spark, edges_of):
     assert all(label[c] == c == min(x for x in label if label[x] == c) for c in set(label.values()))
 
 
+def test_louvain_in_one_task_is_louvain_over_tables(spark, edges_of):
+    rng = random.Random(5)
+    names = [f"g{g}é{i}" for g in range(3) for i in range(5)]
+    pairs = [(a, b) for a in names for b in names if rng.random() < (0.4 if a[:2] == b[:2] else 0.05)] + [("alone", "alone"), ("x", "y"), ("y", "x"), (None, "x"), ("z", None)]
+    edges = edges_of(pairs)
+    one, tables = ({r.id: r.community for r in communities.louvain(edges, task_links=n).collect()} for n in (10_000, 0))
+    assert one == tables and set(one) == {x for p in pairs for x in p if x} and len(set(one.values())) < len(one)
+    assert communities.louvain(edges.limit(0)).count() == 0
+    # The order of names, the coins and the rounding are Spark's.
+    coins = [r.coin for r in spark.createDataFrame([(n,) for n in names], "id string").select(F.pmod(F.xxhash64(F.lit(3), F.lit(7), "id"), F.lit(4)).alias("coin")).collect()]
+    none = np.zeros(0, np.int64)
+    arrays = communities._Arrays(communities.pa.array(names), none, none, none, np.zeros(len(names)))
+    assert [next(p for p in range(4) if arrays.turn(3, 7, 4, p)[i]) for i in range(len(names))] == coins
+
+
 def test_intervals_meet_instants_on_few_bins(spark):
     rng = random.Random(2)
     day = 86_400
