@@ -382,3 +382,30 @@ def test_intervals_meet_instants_on_few_bins(spark):
     cover = [(r.bin << r.level, (r.bin + 1 << r.level) - 1) for r in temporal.tree_cover(one, 20).collect()]
     assert len(cover) < 40 and sorted(cover)[0][0] == 3 and all(b[0] == a[1] + 1 for a, b in itertools.pairwise(sorted(cover))) and max(cover)[1] == (1 << 20) - 2
     assert temporal.active_at_each(versions, instants.limit(0)).count() == 0
+
+
+def test_models_affected_by_data_store_no_pairs(spark, tmp_path):
+    from pathlib import Path
+
+    import __spark_entry__
+    from weftline.session import checkpoint_root
+
+    rng = random.Random(4)
+    parts, suppliers = [*range(40), 3, None], [*range(6), 2, None]
+    items = [(rng.choice([*range(45), None]), rng.choice([*range(8), None])) for _ in range(300)]
+    frames = {
+        "events": spark.range(10).selectExpr("id AS event_id"), "part": spark.createDataFrame([(p, 1.0) for p in parts], "p_partkey long, p_retailprice double"),
+        "supplier": spark.createDataFrame([(x, 1, 1.0) for x in suppliers], "s_suppkey long, s_nationkey int, s_acctbal double"),
+        "lineitem": spark.createDataFrame(items, "l_partkey long, l_suppkey long")}
+    for name, frame in frames.items():
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    folder = Path(checkpoint_root(spark).removeprefix("file:"))
+    before = sorted(folder.iterdir())
+    got = rows(__spark_entry__.queries()["m03_models_affected_by_data"](spark, str(tmp_path)))
+    want, declared = set(), {x for x in suppliers if x is not None}
+    for p in (p for p in parts if p is not None):
+        for d in (p % 24, p * 5 % 24):
+            want.add((f"ds_0_{d}", f"feature_{p}", "feature"))
+            want |= {(f"ds_0_{d}", f"model_{x}:{1 + x % 3}", "model") for q, x in items if q == p and x in declared and p % 11}
+    want |= {(f"ds_1_{x % 24}", f"model_{x}:{1 + x % 3}", "model") for x in declared}
+    assert got == sorted(want) and sorted(folder.iterdir()) == before
