@@ -109,3 +109,68 @@ def test_bad_setting_is_taken_back(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017
         sinks.start(stream(spark, folder).groupBy("run_id").count(), str(tmp_path / "o"), str(tmp_path / "c"), "append", settings={"spark.sql.shuffle.partitions": "2"})
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_a_slot_of_runs_is_one_access_to_the_state():
+    import pandas as pd
+
+    calls, held, timers = [], {}, set()
+
+    class Value:
+        def exists(self):
+            calls.append("exists")
+            return "v" in held
+
+        def get(self):
+            calls.append("get")
+            return held["v"]
+
+        def update(self, value):
+            calls.append("update")
+            held["v"] = value
+
+        def clear(self):
+            held.clear()
+
+    class Handle:
+        def getValueState(self, name, shape):
+            return Value()
+
+        def registerTimer(self, due):
+            calls.append("timer")
+            timers.add(due)
+
+        def deleteTimer(self, due):
+            timers.remove(due)
+
+        def listTimers(self):
+            return list(timers)
+
+    class Clock:
+        def __init__(self, now):
+            self.now = now
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+    def said(frames):
+        return sorted((r.run_id, r.state, r.n_events, r.closed) for f in frames for r in f.itertuples())
+
+    processor = lineage.RunLifecycle(settle_ms=10, timeout_ms=100)
+    processor.init(Handle())
+    rows = [(f"r{i}", state, 2 * i + j, 1000 * (i + j)) for i in range(500) for j, state in enumerate(("START", "COMPLETE" if i % 2 else "RUNNING"))]
+    parts = [pd.DataFrame(rows[a:a + 300], columns=["run_id", "state", "event_id", "at"]) for a in range(0, 1000, 300)]
+    got = said(processor.handleInputRows((7,), iter(parts), Clock(0)))
+    assert got == sorted((f"r{i}", "COMPLETE" if i % 2 else "RUNNING", 2, None) for i in range(500))
+    assert len(calls) <= 4 and timers == {1 + 1 + 10}
+    # Runs with an end are due 10 ms after their last row, the others 100 ms after.
+    timers.clear()
+    assert said(processor.handleExpiredTimer((7,), Clock(200), None)) == sorted(
+        [(f"r{i}", "COMPLETE", 2, "ended") for i in range(1, 190, 2)] + [(f"r{i}", "RUNNING", 2, "timed out") for i in range(0, 100, 2)])
+    assert timers == {100 + 1 + 100}
+    # A later row of an open run moves it; the timer that is left comes too early and finds nothing.
+    assert said(processor.handleInputRows((7,), iter([pd.DataFrame([("r100", "RUNNING", 5000, 900_000)], columns=["run_id", "state", "event_id", "at"])]), Clock(200))) == [("r100", "RUNNING", 3, None)]
+    timers.clear()
+    assert not said(processor.handleExpiredTimer((7,), Clock(201), None)) and timers == {191 + 1 + 10}
+    left = said(processor.handleExpiredTimer((7,), Clock(10_000), None))
+    assert len(left) == 500 - 95 - 50 and ("r100", "RUNNING", 3, "timed out") in left and not held

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,61 +34,105 @@ def drop_repeats(stream: DataFrame, keys: list[str], late_by: str) -> DataFrame:
     return stream.withWatermark("ts", late_by).dropDuplicatesWithinWatermark(keys)
 
 
+#: Runs are dealt over so many slots, each with one state, by default.
+SLOTS = 1024
+
+
 class RunLifecycle(StatefulProcessor):
     """Keeps one row for each open run and gives it up by a timer on event time.
 
     A run that has ended waits ``settle_ms`` after its last event for stragglers, one without an end ``timeout_ms``; then it is
-    closed as ``ended`` or ``timed out`` and leaves the state.
+    closed as ``ended`` or ``timed out`` and leaves the state. Keys are slots of runs: every access to the state is a message
+    to Spark, so the open runs of a slot are read and written as one value, with one timer for the first that is due.
     """
 
-    STATE = "last_at BIGINT, last_id BIGINT, state STRING, started_at BIGINT, ended_at BIGINT, n_events BIGINT"
+    STATE = "runs BINARY, due BIGINT"
+    OPEN = pa.schema([("run_id", pa.string()), ("last_at", pa.int64()), ("last_id", pa.int64()), ("state", pa.string()), ("started_at", pa.int64()), ("ended_at", pa.int64()), ("n_events", pa.int64())])
 
     def __init__(self, settle_ms: int, timeout_ms: int):
         self.settle_ms, self.timeout_ms = settle_ms, timeout_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.run = handle.getValueState("run", self.STATE)
-
-    def _row(self, key, closed: str | None) -> Row:
-        _, _, state, started_at, ended_at, n_events = self.run.get()
-        return Row(run_id=key[0] if isinstance(key, tuple) else key, state=state, started_at=started_at, ended_at=ended_at, n_events=n_events, closed=closed)
+        self.slot = handle.getValueState("slot", self.STATE)
+
+    def _held(self) -> tuple[dict, int | None]:
+        """Open runs of the slot by name, and when its timer is due."""
+        if not self.slot.exists():
+            return {}, None
+        packed, due = self.slot.get()
+        columns = [c.to_pylist() for c in pa.ipc.open_stream(packed).read_all().columns]
+        return {run_id: tuple(rest) for run_id, *rest in zip(*columns, strict=True)}, due
+
+    def _hold(self, runs: dict, due: int) -> None:
+        columns = zip(*((k, *v) for k, v in runs.items()), strict=True)
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, self.OPEN) as stream:
+            stream.write_batch(pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, self.OPEN, strict=True)], schema=self.OPEN))
+        self.slot.update((out.getvalue().to_pybytes(), due))
+
+    def _due(self, run: tuple) -> int:
+        return run[0] // 1000 + (self.timeout_ms if run[4] is None else self.settle_ms)
+
+    @staticmethod
+    def _rows(runs: dict, closed: list) -> pd.DataFrame:
+        _, _, state, started_at, ended_at, n_events = zip(*runs.values(), strict=True)
+        whole = {"started_at": started_at, "ended_at": ended_at, "n_events": n_events}
+        return pd.DataFrame({"run_id": list(runs), "state": state} | {k: pd.array(v, dtype="Int64") for k, v in whole.items()} | {"closed": closed})
 
     def handleInputRows(self, key, rows, timerValues):
-        last_at, last_id, state, started_at, ended_at, n_events = self.run.get() if self.run.exists() else (None, None, None, None, None, 0)
-        for row in rows:
-            n_events += 1
-            if last_at is None or (row.at, row.event_id) > (last_at, last_id):
-                last_at, last_id, state = row.at, row.event_id, row.state
-            if row.state == "START" and (started_at is None or row.at < started_at):
-                started_at = row.at
-            if row.state in TERMINAL and (ended_at is None or row.at > ended_at):
-                ended_at = row.at
-        for due in list(self.handle.listTimers()):
-            self.handle.deleteTimer(due)
-        self.handle.registerTimer(last_at // 1000 + (self.timeout_ms if ended_at is None else self.settle_ms))
-        self.run.update((last_at, last_id, state, started_at, ended_at, n_events))
-        yield self._row(key, None)
+        runs, due = self._held()
+        touched = {}
+        for run_id, now, event_id, said in (row for part in rows for row in zip(*(part[c].tolist() for c in ("run_id", "at", "event_id", "state")), strict=True)):
+            last_at, last_id, state, started_at, ended_at, n_events = touched.get(run_id) or runs.get(run_id) or (None, None, None, None, None, 0)
+            if last_at is None or (now, event_id) > (last_at, last_id):
+                last_at, last_id, state = now, event_id, said
+            if said == "START" and (started_at is None or now < started_at):
+                started_at = now
+            if said in TERMINAL and (ended_at is None or now > ended_at):
+                ended_at = now
+            touched[run_id] = (last_at, last_id, state, started_at, ended_at, n_events + 1)
+        runs |= touched
+        # A timer that comes too early finds nothing to close and is set anew; one that would come too late is replaced.
+        first = min(map(self._due, touched.values()))
+        if due is None or first < due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(first)
+            due = first
+        self._hold(runs, due)
+        yield self._rows(touched, [None] * len(touched))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.run.exists():
-            yield self._row(key, "timed out" if self.run.get()[4] is None else "ended")
-            self.run.clear()
+        runs, _ = self._held()
+        now = timerValues.getCurrentWatermarkInMs()
+        gone = {k: v for k, v in runs.items() if self._due(v) <= now}
+        left = {k: v for k, v in runs.items() if k not in gone}
+        if left:
+            due = min(map(self._due, left.values()))
+            self.handle.registerTimer(due)
+            self._hold(left, due)
+        elif runs:
+            self.slot.clear()
+        if gone:
+            yield self._rows(gone, ["timed out" if v[4] is None else "ended" for v in gone.values()])
 
     def close(self) -> None:
         pass
 
 
-def run_lifecycle(stream: DataFrame, late_by: str = "1 hour", settle_hours: int = 12, timeout_hours: int = 24) -> DataFrame:
+def run_lifecycle(stream: DataFrame, late_by: str = "1 hour", settle_hours: int = 12, timeout_hours: int = 24, slots: int = SLOTS) -> DataFrame:
     """Latest state, start, end and event count of every run, once for each batch that has rows of it and once when it is closed.
 
     ``closed`` is null while a run is open, then ``ended`` or ``timed out``. Order is (ts, event_id), so the result does not
-    depend on the order inside a batch. State holds open runs only; it needs the RocksDB store (``sinks.start(..., settings=sinks.ROCKSDB)``).
+    depend on the order inside a batch. State holds open runs only, in ``slots`` values; it needs the RocksDB store (``sinks.start(..., settings=sinks.ROCKSDB)``).
     Rows behind the watermark are dropped. Rows that come in the batch that would close their run keep it open; rows of a closed run open it again.
     """
-    rows = stream.withWatermark("ts", late_by).select("run_id", "state", "event_id", "ts", F.unix_micros("ts").alias("at"))
+    # An event without an id is the first of its instant.
+    least = F.coalesce("event_id", F.lit(-(2**63))).alias("event_id")
+    rows = stream.withWatermark("ts", late_by).select("run_id", "state", least, "ts", F.unix_micros("ts").alias("at"), F.pmod(F.xxhash64("run_id"), F.lit(slots)).alias("slot"))
     shape = "run_id STRING, state STRING, started_at BIGINT, ended_at BIGINT, n_events BIGINT, closed STRING"
-    found = rows.groupBy("run_id").transformWithState(RunLifecycle(settle_hours * 3_600_000, timeout_hours * 3_600_000), shape, "Update", "EventTime")
+    found = rows.groupBy("slot").transformWithStateInPandas(RunLifecycle(settle_hours * 3_600_000, timeout_hours * 3_600_000), shape, "Update", "EventTime")
     return found.select("run_id", "state", F.timestamp_micros("started_at").alias("started_at"), F.timestamp_micros("ended_at").alias("ended_at"), "n_events", "closed")
 
 
